@@ -946,15 +946,18 @@ def safe_int(spark, sf_dir):
 
 @query(
     "f04_round_even",
-    """SELECT event_id, round_even(value, 0) AS r0, round_even(value / 8, 1) AS r1,
-      round_even(value / 8, 2) AS r2, round_even(value / 8, 4) AS r4 FROM events""",
+    """SELECT event_id, round_even(floor(value) / 2, 0) AS tie0, round_even(floor(value) / 8, 2) AS tie2,
+      round_even(sqrt(value), 0) AS r0, round_even(sqrt(value), 1) AS r1,
+      round_even(sqrt(value), 2) AS r2, round_even(sqrt(value), 4) AS r4 FROM events""",
 )
 def round_even(spark, sf_dir):
-    part = F.col("value") / 8
+    part = F.sqrt("value")
+    whole = F.floor("value").cast("double")
     return table(spark, sf_dir, "events").select(
         "event_id",
-        numeric.round_even("value", 0).alias("r0"),
-        *[numeric.round_even(part, n).alias(f"r{n}") for n in (1, 2, 4)],
+        numeric.round_even(whole / 2, 0).alias("tie0"),
+        numeric.round_even(whole / 8, 2).alias("tie2"),
+        *[numeric.round_even(part, n).alias(f"r{n}") for n in (0, 1, 2, 4)],
     )
 
 
@@ -1243,8 +1246,11 @@ _EVENTS = T.StructType(
 
 
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as a stream of panel rows."""
-    events = feed.read_feed(spark, f"{sf_dir.rstrip('/')}/events.parquet", schema=_EVENTS)
+    """The event table as a stream of panel rows.
+
+    A pattern, because a stream cannot be based on the name of one file.
+    """
+    events = feed.read_feed(spark, f"{sf_dir.rstrip('/')}/events*.parquet", schema=_EVENTS)
     region_id = (F.col("user_id") % 15).cast("int")
     none = {c: F.lit(None).cast("double") for c in WEATHER}
     return events.select(
