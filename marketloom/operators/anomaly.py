@@ -31,17 +31,19 @@ _DAY_PARTS = 1024
 REPORT_KEYS = ["obs_date", "region", "commodity"]
 
 
-def with_province_mean(rows: DataFrame) -> DataFrame:
-    """Mean price of all regions next to each row's own price.
+def province_means(panel: DataFrame) -> DataFrame:
+    """Mean price of all regions per commodity and date, combined on the map side."""
+    return panel.groupBy(*SERIES_DAY).agg(F.avg(PRICE).alias("province_mean"))
 
-    Means are combined on the map side and joined back, so no task has to hold
-    all rows of one (commodity, date).
+
+def with_province_mean(panel: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """`rows` (the panel itself by default) next to the panel's province means.
+
+    Joining the means back leaves no task with all rows of one commodity and
+    date; adaptive execution broadcasts them if they turn out small and splits
+    a partition with too many rows if not.
     """
-    copies = copies_of(rows)
-    means = rows.groupBy(*SERIES_DAY).agg(
-        F.try_divide(F.sum(F.col(PRICE) * copies), F.sum(copies)).alias("province_mean")
-    )
-    return attach(rows, means, SERIES_DAY)
+    return attach(panel if rows is None else rows, province_means(panel), SERIES_DAY)
 
 
 def _with_tie(rows: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ def anomaly_rows(
     panel: DataFrame, hot_rows: int = HOT_ROWS, compact: bool = False
 ) -> DataFrame:
     """Panel with deviation from the province and from the row before."""
-    rows = with_province_mean(with_previous_price(panel, hot_rows, compact))
+    rows = with_province_mean(panel, with_previous_price(panel, hot_rows, compact))
     return rows.withColumns(
         {
             "deviation_pct": pct_change(PRICE, "province_mean"),

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,12 +139,12 @@ class Forest:
 
     def node_table(self, spark: SparkSession) -> DataFrame:
         """The forest as rows, with the sample size, to be stored."""
-        nodes = spark.createDataFrame(self.nodes, NODES)
+        nodes = spark.createDataFrame(pa.Table.from_pandas(self.nodes, preserve_index=False))
         return nodes.withColumn("sample_rows", F.lit(self.sample_rows))
 
     @classmethod
     def from_node_table(cls, table: DataFrame) -> Forest:
-        nodes = table.toPandas()
+        nodes = table.toArrow().to_pandas()
         return cls(nodes.drop(columns="sample_rows"), int(nodes["sample_rows"].iloc[0]))
 
 
@@ -163,4 +164,4 @@ def fit_forest(
         return None
     size = min(sample_rows, n_rows)
     sample = tree_sample(features, n_rows, n_trees, sample_rows, seed)
-    return Forest(grow_trees(sample, n_trees, size, seed).toPandas(), size)
+    return Forest(grow_trees(sample, n_trees, size, seed).toArrow().to_pandas(), size)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.functions.text import json_record
@@ -40,20 +44,32 @@ class AnomalyRun(NamedTuple):
     threshold: float | None
 
 
+def together(spark: SparkSession, *calls: Callable[[], object]) -> list:
+    """Run the calls at the same time, so that their jobs share the cluster."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(calls)) as pool:
+        started = [pool.submit(inherit(call)) for call in calls]
+        return [one.result() for one in started]
+
+
 def detect_anomalies(
-    panel: DataFrame, rate: float = ANOMALY_RATE, n_trees: int = N_TREES, seed: int = SEED
+    panel: DataFrame,
+    rate: float = ANOMALY_RATE,
+    n_trees: int = N_TREES,
+    seed: int = SEED,
+    keep: Callable[[DataFrame, str], DataFrame] = written,
 ) -> AnomalyRun:
     """Features, forest, scores and flags of a panel.
 
-    Features and scores are written once to the scratch folder: sampling,
+    Features and scores are written once, the scores by `keep`: sampling,
     quantile and reports then read only the columns they need from there.
     """
     features = written(anomaly_features(panel, compact=True), "features")
     forest = fit_forest(features, n_trees=n_trees, seed=seed)
     if forest is None:
-        empty = features.withColumn("score", F.lit(None).cast("double"))
-        return AnomalyRun(flag_anomalies(empty, None), None, None)
-    scored = written(forest.score(features), "scored")
+        scored = keep(features.withColumn("score", F.lit(None).cast("double")), "scored")
+        return AnomalyRun(flag_anomalies(scored, None), None, None)
+    scored = keep(forest.score(features), "scored")
     threshold = anomaly_threshold(scored, rate)
     return AnomalyRun(flag_anomalies(scored, threshold), forest, threshold)
 
@@ -85,9 +101,11 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """All result tables by name, from the store if this version has them.
 
-    `force` makes a new run in any case.
+    `force` makes a new run in any case. Summary, forecasts and anomalies do
+    not depend on each other and run side by side over the cached panel.
     """
-    store = ResultStore(panel.sparkSession, root, version)
+    spark = panel.sparkSession
+    store = ResultStore(spark, root, version)
     done = None if force else store.latest()
     if done:
         run, names = done
@@ -100,26 +118,37 @@ def run_batch(
         tables[name] = store.write(run, name, table)
         return tables[name]
 
-    with cached(panel) as rows:
-        save("dataset_info", dataset_info(rows))
-        daily = written(daily_series(rows), "daily")
-        results = {name: save(name, table) for name, table in forecast_results(daily).items()}
-        forecast = results["forecast"]
-        save("forecast_metrics", forecast.select("commodity", "step", "mae", "rmse", "mape"))
-        save("series_meta", series_meta(forecast))
-        save("forecast_records", forecast_records(forecast, results["backtest"], results["history"]))
-        found = detect_anomalies(rows)
-        flagged = save("scored", found.flagged)
-        if found.forest is not None:
-            save("forest", found.forest.node_table(panel.sparkSession))
-        save(
-            "threshold",
-            panel.sparkSession.createDataFrame([(found.threshold,)], "threshold double"),
+    def save_all(made: dict[str, DataFrame]) -> None:
+        together(spark, *[partial(save, name, table) for name, table in made.items()])
+
+    def forecasts() -> None:
+        save_all(forecast_results(written(daily_series(rows), "daily")))
+        forecast = tables["forecast"]
+        save_all(
+            {
+                "forecast_metrics": forecast.select("commodity", "step", "mae", "rmse", "mape"),
+                "series_meta": series_meta(forecast),
+                "forecast_records": forecast_records(
+                    forecast, tables["backtest"], tables["history"]
+                ),
+            }
         )
-        save("anomaly_summary", anomaly_summary(flagged, FOREST_MODEL))
-        save("top_anomalies", top_anomalies(flagged))
-        save("anomaly_daily", anomaly_daily(flagged))
-    store.finish(run, list(tables))
+
+    def anomalies() -> None:
+        found = detect_anomalies(rows, keep=lambda table, name: save(name, table))
+        made = {
+            "threshold": spark.createDataFrame([(found.threshold,)], "threshold double"),
+            "anomaly_summary": anomaly_summary(found.flagged, FOREST_MODEL),
+            "top_anomalies": top_anomalies(found.flagged),
+            "anomaly_daily": anomaly_daily(found.flagged),
+        }
+        if found.forest is not None:
+            made["forest"] = found.forest.node_table(spark)
+        save_all(made)
+
+    with cached(panel) as rows:
+        together(spark, lambda: save("dataset_info", dataset_info(rows)), forecasts, anomalies)
+    store.finish(run, sorted(tables))
     return tables
 
 

@@ -99,7 +99,14 @@ def read_history(
 
 @contextmanager
 def cached(panel: DataFrame):
-    """The panel kept for several results and released after them."""
+    """The panel kept for several results and released after them.
+
+    A panel that the caller has cached already stays as it is.
+    """
+    level = panel.storageLevel
+    if level.useMemory or level.useDisk:
+        yield panel
+        return
     kept = panel.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
