@@ -16,7 +16,13 @@ from marketloom.functions.numeric import days_after, floor_at_zero, safe_int
 from marketloom.operators.baseline import baseline_forecast
 from marketloom.operators.metrics import regression_metrics
 from marketloom.operators.ridge import backtest_and_forecast
-from marketloom.operators.series import fill_gaps, history_tail, series_path, series_size
+from marketloom.operators.series import (
+    fill_gaps,
+    history_tail,
+    series_size,
+    spread_series,
+    with_series_path,
+)
 from marketloom.schema import (
     HORIZON,
     MODEL_INPUTS,
@@ -46,6 +52,7 @@ def ridge_predictions(
     target; rows of kind `forecast` carry the steps after the last date.
     Scaling is learned from the rows before the first test target. `purge`
     leaves out that many samples before it, whose targets reach into the test.
+    Series are fitted side by side as far as `daily` is spread over tasks.
     """
 
     def fit_series(rows: pd.DataFrame) -> pd.DataFrame:
@@ -83,10 +90,9 @@ def ridge_predictions(
     return inputs.groupBy("commodity").applyInPandas(fit_series, PREDICTIONS)
 
 
-def split_paths(daily: DataFrame, **sizes) -> tuple[DataFrame, DataFrame]:
+def split_paths(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(days of series for the model, days of series for the baseline)."""
-    paths = series_path(daily, **sizes)
-    routed = daily.join(paths.select("commodity", "path"), "commodity")
+    routed = with_series_path(spread_series(daily))
     return (
         routed.where(F.col("path") == "model").drop("path"),
         routed.where(F.col("path") == "baseline").drop("path"),

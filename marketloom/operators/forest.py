@@ -110,7 +110,7 @@ class Forest:
         Every tree is filled up to full height: below a shallow leaf rows go left.
         """
         order = {t: i for i, t in enumerate(sorted(self.nodes["tree"].unique()))}
-        inner = 2 ** int(np.log2(self.nodes["node"].max() + 1)) - 1
+        inner = 2 ** max(1, int(np.log2(self.nodes["node"].max() + 1))) - 1
         feature = np.zeros((len(order), inner), dtype="int64")
         cut = np.full((len(order), inner), np.inf)
         path = np.zeros((len(order), inner + 1))

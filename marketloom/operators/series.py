@@ -54,6 +54,17 @@ def daily_series(panel: DataFrame, commodity: str | None = None) -> DataFrame:
     )
 
 
+def spread_series(daily: DataFrame) -> DataFrame:
+    """Series dealt out to the session's number of shuffle partitions.
+
+    All later steps work per series and stay in these partitions. A fixed
+    number keeps adaptive execution from packing few but costly series into
+    one task.
+    """
+    n = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return daily.repartition(n, "commodity")
+
+
 def price_lags(offsets: Sequence[int] = (1, 7, 14, 30)) -> dict[str, Column]:
     return {f"lag_{k}": F.lag(PRICE, k).over(by_day()) for k in offsets}
 
@@ -235,33 +246,41 @@ def moving_average(daily: DataFrame, days: int = AVERAGE_DAYS) -> DataFrame:
     return history_tail(daily, days).groupBy("commodity").agg(F.avg(PRICE).alias("mean_price"))
 
 
+def _path(n_days: Column, complete: Column, days: int, horizon: int) -> Column:
+    ready = (
+        (n_days > days + horizon + BACKTEST_DAYS)
+        & (n_days - (days + horizon - 1) >= MIN_SAMPLES)
+        & complete
+    )
+    return F.when(ready, "model").otherwise("baseline")
+
+
+def _has_all_inputs() -> list[Column]:
+    """Per model input, 1 in the rows that know it."""
+    return [(~is_missing(F.col(c).cast("double"))).cast("int") for c in MODEL_INPUTS]
+
+
 def series_path(
-    daily: DataFrame,
-    days: int = SEQUENCE_DAYS,
-    horizon: int = HORIZON,
-    min_samples: int = MIN_SAMPLES,
-    backtest_days: int = BACKTEST_DAYS,
+    daily: DataFrame, days: int = SEQUENCE_DAYS, horizon: int = HORIZON
 ) -> DataFrame:
     """Which forecast a series gets: `model` or `baseline`.
 
     The model needs enough days, enough samples and at least one known value
     in each of its inputs.
     """
-    known = [
-        F.max((~is_missing(F.col(c).cast("double"))).cast("int")) == 1 for c in MODEL_INPUTS
-    ]
-    complete = known[0]
-    for flag in known[1:]:
-        complete = complete & flag
+    known = F.least(*[F.max(flag) for flag in _has_all_inputs()])
     sized = daily.groupBy("commodity").agg(
-        F.count(F.lit(1)).alias("n_days"), complete.alias("_complete")
-    )
-    n_samples = F.col("n_days") - (days + horizon - 1)
-    ready = (
-        (F.col("n_days") > days + horizon + backtest_days)
-        & (n_samples >= min_samples)
-        & F.col("_complete")
-    )
-    return sized.select(
-        "commodity", "n_days", F.when(ready, "model").otherwise("baseline").alias("path")
+        F.count(F.lit(1)).alias("n_days"), (known == 1).alias("_complete")
     )
+    path = _path(F.col("n_days"), F.col("_complete"), days, horizon)
+    return sized.select("commodity", "n_days", path.alias("path"))
+
+
+def with_series_path(
+    daily: DataFrame, days: int = SEQUENCE_DAYS, horizon: int = HORIZON
+) -> DataFrame:
+    """Every day with the path of its series, without a join."""
+    series = whole_series()
+    known = F.least(*[F.max(flag).over(series) for flag in _has_all_inputs()])
+    n_days = F.count(F.lit(1)).over(series)
+    return daily.withColumn("path", _path(n_days, known == 1, days, horizon))

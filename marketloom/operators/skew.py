@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 HOT_ROWS = 1_000_000
 # Longest list of hot keys. The heaviest keys come first, so a key that is not
 # on a full list holds at most 1 / HOT_LIST of all rows.
-HOT_LIST = 10_000
+HOT_LIST = 50_000
 # One row stands for at most this many copies while copies are spread out.
 _COPY_BLOCK = 100_000
 

@@ -56,13 +56,15 @@ def score_rows(
     """
     inner = path.shape[1] - 1
     height = int(np.log2(inner + 1))
-    flat, offset = x.ravel(), np.arange(len(x)) * x.shape[1]
+    flat, offset = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
     total = np.zeros(len(x))
     for of_tree, cuts, depths in zip(feature, threshold, path):
-        node = np.zeros(len(x), dtype="int64")
-        for _ in range(height):
-            right = flat[offset + of_tree[node]] > cuts[node]
-            node = 2 * node + 1 + right
-        total += depths[node - inner]
+        node = 1 + (x[:, of_tree[0]] > cuts[0])
+        for _ in range(height - 1):
+            right = flat.take(offset + of_tree.take(node)) > cuts.take(node)
+            node *= 2
+            node += 1
+            node += right
+        total += depths.take(node - inner)
     scale = mean_path(sample_rows) or 1.0
     return -np.exp2(-total / (len(path) * scale))

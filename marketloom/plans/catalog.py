@@ -135,7 +135,8 @@ def plain_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make():
-        return written(forecast.ridge_predictions(daily(spark, sf_dir)), "predictions")
+        days = series.spread_series(daily(spark, sf_dir))
+        return written(forecast.ridge_predictions(days), "predictions")
 
     return once(spark, sf_dir, "predictions", make)
 
@@ -1255,7 +1256,7 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = {c: F.lit(None).cast("double") for c in WEATHER}
     return events.select(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        feed.clock_time("ts").alias("ts"),
         F.col("ts").cast("date").alias("obs_date"),
         F.concat(F.lit("R"), region_id.cast("string")).alias("region"),
         region_id.alias("region_id"),

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,9 +35,22 @@ def read_feed(
     return reader.schema(schema).load(path)
 
 
+def clock_time(wall_clock) -> Column:
+    """A time without zone (or a date) as event time, read as UTC.
+
+    Day windows start at midnight UTC, so days stay whole in any session zone.
+    """
+    return F.from_utc_timestamp(F.col(wall_clock).cast("timestamp"), F.current_timezone())
+
+
+def window_date() -> Column:
+    """The day of a one-day window."""
+    return F.date_from_unix_date((F.unix_seconds("window.start") / 86400).cast("int"))
+
+
 def with_event_time(rows: DataFrame) -> DataFrame:
     """Midnight of the observation date as event time."""
-    return rows.withColumn("ts", F.col("obs_date").cast("timestamp"))
+    return rows.withColumn("ts", clock_time("obs_date"))
 
 
 def ingest(rows: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -56,7 +69,7 @@ def daily_means(rows: DataFrame) -> DataFrame:
     return (
         rows.groupBy(F.window("ts", "1 day"), "commodity")
         .agg(F.avg(PRICE).alias(PRICE), F.count(F.lit(1)).alias("n_rows"))
-        .select("commodity", F.to_date("window.start").alias("obs_date"), PRICE, "n_rows")
+        .select("commodity", window_date().alias("obs_date"), PRICE, "n_rows")
     )
 
 
@@ -74,7 +87,7 @@ def closed_days(rows: DataFrame) -> DataFrame:
             *[F.avg(c).alias(c) for c in numbers],
             *[F.min(c).alias(c) for c in CALENDAR],
         )
-        .withColumn("obs_date", F.to_date("window.start"))
+        .withColumn("obs_date", window_date())
         .select(*PANEL_SCHEMA.fieldNames())
     )
 

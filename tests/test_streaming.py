@@ -41,6 +41,17 @@ def test_stream_equals_batch_on_closed_days(spark, panel, tmp_path):
     assert sorted(got.collect()) == sorted(expected.select(*got.columns).collect())
 
 
+@pytest.mark.parametrize("zone", ["Asia/Jakarta", "America/New_York"])
+def test_days_are_whole_in_any_zone(spark, panel, tmp_path, zone):
+    path = stage(panel, tmp_path / "feed", [[0, 1], [2, 3, 4]])
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = sorted((r.obs_date.day, r.n_rows) for r in means(spark, path, "1 day").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [(1, 4), (2, 4), (3, 4)]
+
+
 def test_late_days_are_left_out_by_the_delay(spark, panel, tmp_path):
     """Lateness is judged by the watermark of the batch before."""
     path = stage(panel, tmp_path / "feed", [[0, 1], [7, 8], [9], [2, 3], [6]])
