@@ -10,30 +10,20 @@ from pyspark.sql import functions as F
 _BINS = 4096
 
 
-def _value_at(values: DataFrame, rank: int, low: float, high: float) -> float:
-    """The value at a 0-based rank, found by counting in ever finer bins.
-
-    Each pass brings at most _BINS counts to the driver and goes on inside the
-    one bin that holds the rank, between the least and greatest value in it.
-    """
-    below = 0
-    while low < high:
-        width = (high - low) / _BINS
+def _count_in_bins(values: DataFrame, low: float, high: float) -> list:
+    """Non-empty bins between two values, in order: weight, least and greatest value."""
+    width = (high - low) / _BINS
+    if width == 0 or math.isinf(width):  # only the lower end is told from the rest
+        bin_no = F.when(F.col("v") == low, 0).otherwise(1)
+    else:
         bin_no = F.least(F.floor((F.col("v") - low) / width), F.lit(_BINS - 1))
-        if width == 0:  # too close to divide: the two ends are neighbours
-            bin_no = F.when(F.col("v") == low, 0).otherwise(1)
-        bins = (
-            values.where(F.col("v").between(low, high))
-            .groupBy(bin_no.alias("bin"))
-            .agg(F.sum("w").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-            .collect()
-        )
-        for found in sorted(bins, key=lambda b: b["low"]):
-            if rank < below + found["n"]:
-                low, high = found["low"], found["high"]
-                break
-            below += found["n"]
-    return low
+    bins = (
+        values.where(F.col("v").between(low, high))
+        .groupBy(bin_no.alias("bin"))
+        .agg(F.sum("w").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()
+    )
+    return sorted(bins, key=lambda found: found["low"])
 
 
 def exact_quantile(
@@ -41,7 +31,9 @@ def exact_quantile(
 ) -> float | None:
     """Linearly interpolated quantile, as in a sorted list; None without values.
 
-    A row counts as often as its `weight` says.
+    A row counts as often as its `weight` says. Each pass brings at most _BINS
+    counts to the driver and goes on inside the one bin that holds the wanted
+    rank, between the least and greatest value in it, until that is one value.
     """
     weight = F.lit(1) if weight is None else weight
     weight = F.col(weight) if isinstance(weight, str) else weight
@@ -49,17 +41,19 @@ def exact_quantile(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
     whole = values.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("w").alias("n"))
-    ends = whole.first()
-    if not ends["n"]:
+    low, high, held = whole.first()
+    if not held:
         return None
-    place = q * (ends["n"] - 1)
+    place = q * (held - 1)
     rank = math.floor(place)
-    left = _value_at(values, rank, ends["low"], ends["high"])
-    if place == rank:
-        return left
-    up_to = values.agg(
-        F.sum(F.when(F.col("v") <= left, F.col("w"))).alias("n"),
-        F.min(F.when(F.col("v") > left, F.col("v"))).alias("next"),
-    ).first()
-    right = left if up_to["n"] > rank + 1 else up_to["next"]
-    return left + (right - left) * (place - rank)
+    below, after = 0, high
+    while low < high:
+        bins = _count_in_bins(values, low, high)
+        for found, following in zip(bins, [*bins[1:], None]):
+            if rank < below + found["n"]:
+                break
+            below += found["n"]
+        low, high, held = found["low"], found["high"], found["n"]
+        after = following["low"] if following else after
+    right = low if rank + 1 < below + held else after
+    return low + (right - low) * (place - rank)

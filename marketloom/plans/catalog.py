@@ -1292,6 +1292,7 @@ def stream_ingest(spark, sf_dir):
 def stream_drop_replays(spark, sf_dir):
     """The feed read twice over; each event comes out once."""
     twice = event_feed(spark, sf_dir).unionByName(event_feed(spark, sf_dir))
+    twice = feed.combine_replays(twice, ["event_id"])
     rows = feed.drop_replays(feed.ingest(twice, "60 days"), ["event_id"])
     return feed.drained(rows.select(*_FEED_COLUMNS), "replays")
 

@@ -28,12 +28,15 @@ def keep(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFram
     return _kept[key]
 
 
-def _exact(column: str):
-    return F.sum(F.col(column).cast("decimal(14,2)"))
+def _cents(column: str):
+    """Sum in hundredths as whole numbers: exact in any order, without decimals."""
+    return F.sum(F.round(F.col(column) * 100).cast("bigint"))
 
 
-def _whole(column):
-    return F.floor(column).cast("double")
+def _whole(dividend, divisor):
+    """Largest whole number below the quotient."""
+    part = F.pmod(dividend, divisor)
+    return F.call_function("div", dividend - part, divisor).cast("double")
 
 
 def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,10 +54,10 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey").alias("region_id"),
         F.col("p_type").alias("commodity"),
     ).agg(
-        _whole(_exact("l_extendedprice") / _exact("l_quantity")).alias("price"),
-        _whole(_exact("l_quantity") / F.count(F.lit(1))).alias("temp_avg_c"),
-        _whole(_exact("l_discount") * 100).alias("rain_mm"),
-        _whole(_exact("l_tax") * 100).alias("humidity_avg_pct"),
+        _whole(_cents("l_extendedprice"), _cents("l_quantity")).alias("price"),
+        _whole(_cents("l_quantity"), F.count(F.lit(1)) * 100).alias("temp_avg_c"),
+        _cents("l_discount").cast("double").alias("rain_mm"),
+        _cents("l_tax").cast("double").alias("humidity_avg_pct"),
     )
 
 
@@ -68,7 +71,7 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             group.alias("region_id"),
             F.col("event_type").alias("commodity"),
         )
-        .agg(_whole(_exact("value") / F.count(F.lit(1))).alias("price"))
+        .agg(_whole(_cents("value"), F.count(F.lit(1)) * 100).alias("price"))
         .withColumn("region", F.concat(F.lit("R"), F.col("region_id").cast("string")))
         .withColumns({c: F.lit(None).cast("double") for c in WEATHER})
     )

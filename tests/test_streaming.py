@@ -64,7 +64,8 @@ def test_late_days_are_left_out_by_the_delay(spark, panel, tmp_path):
 
 def test_replayed_records_count_once(spark, panel, tmp_path):
     path = stage(panel, tmp_path / "feed", [[0, 1], [1, 2], [0, 1, 2]])
-    rows = feed.drop_replays(feed.ingest(feed.read_feed(spark, path, maxFilesPerTrigger=1), "5 days"))
+    source = feed.read_feed(spark, path, maxFilesPerTrigger=1)
+    rows = feed.drop_replays(feed.ingest(feed.combine_replays(source), "5 days"))
     got = feed.drained(rows, "once")
     assert got.count() == 12 and got.select("obs_date", "region").distinct().count() == 12
 
