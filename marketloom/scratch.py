@@ -8,18 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only for a local master."""
-    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="marketloom-")
-    spark.conf.set(_SETTING, root)
-    return root
+    app = context.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="marketloom-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +31,13 @@ class AlertWriter:
         spark = batch.sparkSession
         days = batch.select(*PANEL_COLUMNS).persist()
         try:
-            before = self._latest_before(spark, batch_id)
-            known = days if before is None else days.unionByName(before)
             first = days.agg(F.min("obs_date").alias("d")).first()["d"]
             if first is None:
                 return
+            before = self._latest_before(spark, batch_id)
+            known = days
+            if before is not None:
+                known = days.unionByName(before.where(F.col("obs_date") < first))
             scored = self.forest.score(anomaly_features(known)).where(F.col("obs_date") >= first)
             alerts = anomalous_rows(flag_anomalies(scored, self.threshold)).drop("is_anom")
             alerts.write.mode("overwrite").parquet(f"{self.root}/alerts/batch_id={batch_id}")
@@ -48,20 +48,16 @@ class AlertWriter:
             days.unpersist()
 
     def _latest_before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """Newest rows after the last batch before this one."""
-        try:
-            stored = spark.read.parquet(f"{self.root}/latest")
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return None if self.start is None else newest_rows(self.start)
-        folders = {int(re.search(r"batch_id=(\d+)", f).group(1)) for f in stored.inputFiles()}
-        earlier = [n for n in folders if n < batch_id]
-        if not earlier:
-            return None if self.start is None else newest_rows(self.start)
-        return spark.read.schema(PANEL_SCHEMA).parquet(
-            f"{self.root}/latest/batch_id={max(earlier)}"
-        )
+        """Newest rows after the last batch before this one that had any."""
+        for earlier in range(batch_id - 1, -1, -1):
+            try:
+                return spark.read.schema(PANEL_SCHEMA).parquet(
+                    f"{self.root}/latest/batch_id={earlier}"
+                )
+            except AnalysisException as missing:
+                if "PATH_NOT_FOUND" not in str(missing):
+                    raise
+        return None if self.start is None else newest_rows(self.start)
 
 
 def newest_rows(panel: DataFrame) -> DataFrame:
