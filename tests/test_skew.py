@@ -3,6 +3,10 @@ from collections import Counter
 
 import pytest
 
+from conftest import DEFAULTS
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from marketloom.operators import anomaly, skew
 
 
@@ -75,3 +79,49 @@ def test_hot_key_may_be_null(make_panel):
     panel = make_panel([{"day": 0, "region": None, "price": float(i)} for i in range(9)] + [{"day": 0}])
     usual, heavy = skew.split_hot(panel, skew.hot_keys(panel, ["region"], 5), ["region"])
     assert (usual.count(), heavy.count()) == (1, 9)
+
+
+@pytest.fixture
+def eager_splitting(spark):
+    """No broadcasts, and adaptive execution that splits even small partitions."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_one_busy_day_is_split_in_the_join(spark, make_panel, eager_splitting):
+    """Half of all rows on one date: its partition is cut, and the means are right."""
+    columns = make_panel([{"day": 0}]).columns
+    one = {c: F.lit(v) for c, v in {**DEFAULTS, "rain_mm": 2.0}.items()}
+    busy = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 50)
+    panel = (
+        spark.range(0, 40_000, 1, 8)
+        .withColumns({**one, "price": (F.col("id") % 97).cast("double")})
+        .withColumns(
+            {
+                "obs_date": F.date_add(F.lit("2024-01-01").cast("date"), busy.cast("int")),
+                "region": F.concat(F.lit("R"), F.col("id").cast("string")),
+            }
+        )
+        .select(*columns)
+    )
+    joined = anomaly.with_province_mean(panel)
+    wrong = joined.withColumn(
+        "m", F.avg("price").over(Window.partitionBy("commodity", "obs_date"))
+    ).where("abs(m - province_mean) > 1e-9 or province_mean is null")
+    assert wrong.count() == 0
+    assert joined.count() == 40_000
+    joined.write.format("noop").mode("overwrite").save()
+    rows = joined.select("region", "province_mean")
+    rows.collect()
+    assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
