@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.numeric import days_after, floor_at_zero, safe_int
 from marketloom.operators.baseline import baseline_forecast
-from marketloom.operators.metrics import regression_metrics
+from marketloom.operators.metrics import error_aggregates, regression_metrics
 from marketloom.operators.ridge import backtest_and_forecast
 from marketloom.operators.series import (
     fill_gaps,
@@ -120,23 +120,39 @@ def model_forecast(predictions: DataFrame) -> DataFrame:
 
 
 def forecast_from_predictions(predictions: DataFrame, daily: DataFrame) -> DataFrame:
-    """Forecast of the model path in the shape of the baseline's."""
-    return (
-        model_forecast(predictions)
-        .join(forecast_metrics(predictions), ["commodity", "step"])
-        .join(series_size(daily), "commodity")
-        .select(
+    """Forecast of the model path in the shape of the baseline's.
+
+    Forecast and errors come from one grouping, so that unsaved predictions are
+    made only once.
+    """
+    ahead = F.col("kind") == "forecast"
+    per_step = (
+        predictions.select(
             "commodity",
             "step",
-            "target_date",
-            "price",
-            "mae",
-            "rmse",
-            "mape",
-            "n_days",
-            "n_samples",
-            F.lit(RIDGE_MODEL).alias("model"),
+            F.when(~ahead, F.col("actual")).alias("actual"),
+            "prediction",
+            F.when(ahead, F.col("prediction")).alias("next"),
+            F.when(ahead, F.col("origin_date")).alias("last_date"),
         )
+        .groupBy("commodity", "step")
+        .agg(
+            F.max("last_date").alias("last_date"),
+            F.max("next").alias("next"),
+            *error_aggregates(),
+        )
+    )
+    return per_step.join(series_size(daily), "commodity").select(
+        "commodity",
+        "step",
+        days_after("last_date", F.col("step")).alias("target_date"),
+        floor_at_zero(safe_int("next")).alias("price"),
+        "mae",
+        "rmse",
+        "mape",
+        "n_days",
+        "n_samples",
+        F.lit(RIDGE_MODEL).alias("model"),
     )
 
 

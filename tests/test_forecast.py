@@ -74,6 +74,13 @@ def test_every_series_gets_seven_days(daily, predictions, day0):
     for row in rows:
         assert row.target_date == day0 + dt.timedelta(days=last[row.commodity] + row.step)
         assert row.price >= 0
+    one = {(r.commodity, r.step): r for r in rows if r.model == forecast.RIDGE_MODEL}
+    for row in forecast.model_forecast(predictions).collect():
+        same = one[row.commodity, row.step]
+        assert (same.price, same.target_date) == (row.price, row.target_date)
+    for row in forecast.forecast_metrics(predictions).collect():
+        same = one[row.commodity, row.step]
+        assert (same.mae, same.rmse, same.mape) == (row.mae, row.rmse, row.mape)
     meta = {r.commodity: r for r in forecast.series_meta(forecast.forecast_all(daily, predictions)).collect()}
     assert meta["short"].model == forecast.baseline_forecast(daily).first().model
     assert meta["rice"].model == forecast.RIDGE_MODEL
