@@ -8,12 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm.decontaminate import find_contamination
+from marketloom.llm.quality_rules import judge
+from marketloom.llm.sharding import equal_weights, place
+from marketloom.llm.token_counts import length_histogram, token_counts
+from marketloom.scratch import written
+
+N_SHARDS = 24
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -27,7 +37,21 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    placed = place(docs, "doc_id", "text", equal_weights(N_SHARDS), equal_weights(N_SHARDS + 1))
+    return placed.withColumn("law", F.lit("key"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = written(token_counts(_table(spark, sf_dir, "documents")), "token_counts")
+    return length_histogram(counts)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op9_sharding": op9_sharding,
+    "op10_token_counts": op10_token_counts,
 }
 SQL: dict[str, str] = {}
