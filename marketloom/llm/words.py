@@ -43,7 +43,7 @@ def worker_cache() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
+def power_tables(n: int) -> list[np.ndarray]:
     """Powers 0 to n-1 of an odd number, and of its inverse, modulo 2^64."""
     cache = worker_cache()
     if len(cache.get("powers", [()])[0]) < n:
@@ -114,7 +114,7 @@ def _cut(data: np.ndarray, breaks: np.ndarray, word: np.ndarray) -> tuple[np.nda
     is_break[breaks] = True
     starts = np.flatnonzero(inside & (~before | is_break))
     ends = np.flatnonzero(before & (~inside | is_break))
-    power, inverse = _power_tables(n + 1)
+    power, inverse = power_tables(n + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_CODES[data] * power[:n], out=total[1:])
