@@ -5,12 +5,12 @@ and the second one, shifted around the ring by another step for every
 coordinate, ranks it. Documents that agree in one band of coordinates are
 candidates; a link counts only when the full shingle sets confirm it.
 
-Documents with equal sets form a class and one of them stands for it. Within a
-bucket all members are compared with a leader. What the verified links do not
-join yet is compared further, a growing number of members at a time, until every
-bucket's members lie in one component or have been compared with each other. So
-a bucket of n similar texts costs about n comparisons, not n squared, and no link
-inside it is lost.
+Documents with equal sets form a class and one of them stands for it. All buckets
+with one leader make a group, and every member is compared with the leader. Only
+members that it is not linked with, the strays, are compared with the rest of
+their group, in blocks of bounded size that count shared shingles by an inverted
+index. So n edited copies of a text cost about n comparisons, pairs never become
+rows, and no link inside a bucket is lost.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from marketloom.llm.components import connected
-from marketloom.llm.words import SPACED, Words, find_words, mix, runs, slices, whole_runs
+from marketloom.llm.words import SPACED, Words, find_words, mix, ranges, runs, slices, whole_runs
 from marketloom.scratch import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -35,8 +35,8 @@ SHINGLE = 4
 # A link at 0.8 is missed by all bands with probability (1 - 0.8 ** 4) ** 24, about 3e-6.
 BANDS, ROWS = 24, 4
 SIMILAR_PERCENT = 80
-# Members of a bucket that are compared with all others in the second round; doubled every round.
-FIRST_STRAYS = 4
+# Shingles of the members that one task compares at a time.
+BLOCK_SHINGLES = 400_000
 
 _RING = 0x9E3779B9
 _SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
@@ -139,51 +139,94 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
 
-def _unsettled(members: DataFrame, labels: DataFrame, uncompared: str) -> DataFrame:
-    """Members, with their component's label, of buckets whose uncompared members lie in different components."""
-    marked = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    marked = marked.withColumn("label", F.coalesce("label", "doc_id"))
-    ends = marked.where(uncompared).groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return marked.join(ends.where("low < high").select("key"), "key", "left_semi")
+def _link_rest(group: pa.Table) -> pa.Table:
+    """Links between a block of strays and a block of members that join what is not joined yet.
+
+    Members that the leader is linked with count as joined from the start.
+    """
+    strays = group.filter(group["side"])
+    members = group.filter(pc.invert(group["side"]))
+    text, code = shingle_sets(find_words(members["text"].combine_chunks(), SPACED, lower=True))
+    n_members = np.bincount(text, minlength=members.num_rows)
+    order = np.argsort(code, kind="stable")
+    code, text = code[order], text[order]
+    asked, shingle = shingle_sets(find_words(strays["text"].combine_chunks(), SPACED, lower=True))
+    n_strays = np.bincount(asked, minlength=strays.num_rows)
+    first = np.concatenate([[0], np.cumsum(n_strays)])
+    lo, hi = np.searchsorted(code, shingle, "left"), np.searchsorted(code, shingle, "right")
+    ids = members["doc_id"].to_pylist()
+    root = {d: None if joined else d for d, joined in zip(ids, members["joined"].to_pylist(), strict=True)}
+
+    def find(x: int | None) -> int | None:
+        while x is not None and root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    found: dict[str, list[int]] = {"a": [], "b": []}
+    for k, stray in enumerate(strays["doc_id"].to_pylist()):
+        own = slice(first[k], first[k + 1])
+        shared = np.bincount(text[ranges(lo[own], (hi - lo)[own])], minlength=len(ids))
+        similar = 100 * shared >= SIMILAR_PERCENT * (n_strays[k] + n_members - shared)
+        for at in np.flatnonzero(similar).tolist():
+            x, y = find(stray), find(ids[at])
+            if x != y:
+                if x is None:
+                    x, y = y, x
+                root[x] = y
+                found["a"].append(stray)
+                found["b"].append(ids[at])
+    return pa.table(found, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+
+def _in_blocks(groups: DataFrame, texts: DataFrame, block: int) -> DataFrame:
+    """Rows of every comparison still to be made: blocks of strays against blocks of members.
+
+    `groups` has leader, doc_id, n_shingles and joined. A group is cut by hash
+    into blocks of about `block` shingles, on either side.
+    """
+    stray = ~F.col("joined")
+    sizes = groups.groupBy("leader").agg(
+        F.ceil(F.sum("n_shingles") / block).cast("int").alias("blocks"),
+        F.ceil(F.sum(F.when(stray, F.col("n_shingles"))) / block).cast("int").alias("stray_blocks"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    rows = groups.join(sizes.where("stray_blocks > 0 and n > 2"), "leader").join(texts, "doc_id")
+    part = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["leader", "doc_id", "joined", "text"]
+    asking = rows.where(stray).select(*columns, F.lit(True).alias("side"), part("stray_blocks").alias("x"), every("blocks").alias("y"))
+    asked = rows.select(*columns, F.lit(False).alias("side"), every("stray_blocks").alias("x"), part("blocks").alias("y"))
+    return asking.unionByName(asked)
 
 
-def find_links(sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links (a, b) that join the same documents as all links in the buckets would.
+def find_links(sets: DataFrame, texts: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """Verified links (a, b) that join the same documents as all links inside buckets would.
 
     `sets` has doc_id, n_shingles and bands of one document per class, `texts`
-    their doc_id and text.
+    their doc_id and text. A bucket's leader is the member that shares most
+    buckets, which in a group of edited copies tends to be the original.
     """
     buckets = sets.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("leader")).where("n > 1")
-    members = written(buckets.join(shared.drop("n"), "key"), "buckets")
-    sizes = members.select("doc_id", "n_shingles").distinct()
-    texts = written(texts.join(sizes, "doc_id", "left_semi"), "candidate_texts")
-    # Sets whose sizes differ more than this cannot be similar enough.
-    fits = f"100 * least(n_a, n_b) >= {SIMILAR_PERCENT} * greatest(n_a, n_b)"
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return written(_with_texts(pairs, texts).mapInArrow(_verify, "a bigint, b bigint"), "links")
-
-    to_leader = members.where("doc_id > leader").select(
-        F.col("leader").alias("a"), F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b")
+    counts = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(buckets.join(counts, "key"), "buckets")
+    mates = members.groupBy("doc_id", "n_shingles").agg(F.sum("n").alias("mates"))
+    ranked = members.select("key", "doc_id").join(mates, "doc_id")
+    best = F.max(F.struct("mates", (-F.col("doc_id")).alias("rank"), F.col("n_shingles").alias("n_leader"))).alias("best")
+    leaders = ranked.groupBy("key").agg(best)
+    groups = members.join(leaders, "key").select(
+        (-F.col("best.rank")).alias("leader"), F.col("best.n_leader").alias("n_leader"), "doc_id", "n_shingles"
     )
-    leaders = sizes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"))
-    links = verified(to_leader.distinct().join(leaders, "a").where(fits).select("a", "b"))
-    labels = connected(links)
-    place = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))  # the leader is first
-    apart = _unsettled(members, labels, "doc_id > leader").drop("label", "leader")
-    apart = written(apart.withColumn("place", place), "unsettled")
-    done, strays = 1, FIRST_STRAYS
-    while not (rest := written(_unsettled(apart, labels, f"place > {done}"), "unsettled")).isEmpty():
-        rest = rest.where(F.col("place") > done)
-        chosen = rest.where(F.col("place") <= done + strays)
-        left = chosen.select("key", F.col("doc_id").alias("a"), F.col("label").alias("label_a"), F.col("n_shingles").alias("n_a"))
-        right = rest.select("key", F.col("doc_id").alias("b"), F.col("label").alias("label_b"), F.col("n_shingles").alias("n_b"))
-        across = left.join(right, "key").where("a < b and label_a != label_b").where(fits)
-        links = links.unionByName(verified(across.select("a", "b").distinct()))
-        labels = connected(links)
-        done, strays = done + strays, 2 * strays
-    return links
+    groups = written(groups.distinct(), "groups")
+    texts = written(texts.join(mates.select("doc_id"), "doc_id", "left_semi"), "candidate_texts")
+    # Sets whose sizes differ more than this cannot be similar enough.
+    fits = f"100 * least(n_leader, n_shingles) >= {SIMILAR_PERCENT} * greatest(n_leader, n_shingles)"
+    pairs = groups.where("doc_id != leader").where(fits).select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
+    links = written(_with_texts(pairs, texts).mapInArrow(_verify, "a bigint, b bigint"), "links")
+    linked = links.select(F.col("a").alias("leader"), F.col("b").alias("doc_id"), F.lit(True).alias("linked"))
+    marked = groups.join(linked, ["leader", "doc_id"], "left")
+    marked = marked.withColumn("joined", F.col("linked").isNotNull() | (F.col("doc_id") == F.col("leader")))
+    rest = _in_blocks(marked, texts, block).groupBy("leader", "x", "y").applyInArrow(_link_rest, "a bigint, b bigint")
+    return links.unionByName(rest)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

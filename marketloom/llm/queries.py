@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketloom.llm import licenses, pieces
 from marketloom.llm.decontaminate import find_contamination
 from marketloom.llm.near_dups import near_duplicates
 from marketloom.llm.quality_rules import judge
 from marketloom.llm.sharding import equal_weights, place
+from marketloom.llm.site_quality import score_sites, section
 from marketloom.llm.substring_dedup import remove_repeats
 from marketloom.llm.token_counts import length_histogram, token_counts
 from marketloom.scratch import written
@@ -27,6 +29,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources stand for hosts, and a source's languages for its paths."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return score_sites(docs, labels, F.col("source"), section("source", "lang"))
+
+
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +60,13 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document, and what decoding them gives back."""
+    encoded = written(pieces.encode(_table(spark, sf_dir, "documents")), "encoded")
+    decoded = pieces.decode(encoded).select("doc_id", F.sha2("text", 256).alias("decoded_sha256"))
+    return encoded.join(decoded, "doc_id")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     placed = place(docs, "doc_id", "text", equal_weights(N_SHARDS), equal_weights(N_SHARDS + 1))
@@ -61,10 +80,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_license_scans": op4_license_scans,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_token_counts": op10_token_counts,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_license_scans": licenses.oracle(),
+}
