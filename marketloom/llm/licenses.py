@@ -9,7 +9,10 @@ is Spark SQL.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections import Counter
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,43 +107,67 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, thr
     """
     spark = docs.sparkSession
     table = spark.createDataFrame([(name, text) for name, text in sorted(templates.items())], "license string, text string")
-    table = table.select("license", _bigrams(_words(_normal(F.col("text")))).alias("bigrams"))
-    known = [(r["license"], r["bigrams"]) for r in table.collect()]  # the given templates, not data
+    table = table.select("license", _words(_normal(F.col("text"))).alias("words"))
+    table = table.select("license", "words", _bigrams(F.col("words")).alias("bigrams"))
+    known = [tuple(r) for r in table.collect() if r["bigrams"]]  # the given templates, not data
     literals = F.array(
         *[
             F.struct(F.lit(name).alias("license"), F.lit(len(grams)).alias("size"), F.lit(grams).alias("bigrams"))
-            for name, grams in known
+            for name, _, grams in known
         ]
     )
-    body = _normal(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    passages = F.array_distinct(F.concat(F.split(body, "\n"), F.split(body, "\n( ?\n)+"), F.array(body)))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.explode(passages).alias("passage"))
-    # Sizes that can reach the threshold with some template; a set is no larger than its words.
     factor = (2 - threshold) / threshold
-    smallest = min((len(g) for _, g in known if g), default=1) / factor
-    largest = max((len(g) for _, g in known), default=0) * factor
-    grams = rows.select("doc_id", _bigrams(_words(F.col("passage"))).alias("grams"))
-    grams = grams.where(F.size("grams").between(F.lit(max(1.0, smallest)), F.lit(largest)))
+    needed = sorted({word for _, words, _ in known for word in needed_words(words, 1 / factor)})
+    if not needed:
+        return spark.createDataFrame([], "doc_id bigint, license string, n_passages bigint, dice double")
+    # One step per select, as an expression that is used twice would be worked out twice.
+    body = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), _normal(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("body")
+    )
+    passages = F.array_distinct(
+        F.concat(F.split("body", "\n"), F.split("body", "\n( ?\n)+"), F.array("body"))
+    )
+    rows = body.select("doc_id", F.explode(passages).alias("passage"))
+    rows = rows.where(reduce(or_, [F.contains("passage", F.lit(word)) for word in needed]))
+    grams = rows.select("doc_id", _words(F.col("passage")).alias("words"))
+    grams = grams.select("doc_id", _bigrams(F.col("words")).alias("grams"))
     size = F.size("grams")
 
     def dice(t: Column) -> Column:
         return 2.0 * F.size(F.array_intersect(F.col("grams"), t["bigrams"])) / (size + t["size"])
 
-    near = F.filter(literals, lambda t: (t["size"] > 0) & (size <= t["size"] * factor) & (t["size"] <= size * factor))
+    near = F.filter(literals, lambda t: (size > 0) & (size <= t["size"] * factor) & (t["size"] <= size * factor))
     scores = F.transform(near, lambda t: F.struct((-dice(t)).alias("order"), t["license"].alias("license")))
-    best = grams.select("doc_id", F.array_min(scores).alias("best")).where(-F.col("best.order") >= threshold)
-    return best.groupBy("doc_id", F.col("best.license").alias("license")).agg(
+    best = F.filter(F.array(F.array_min(scores)), lambda x: -x["order"] >= threshold)
+    found = grams.select("doc_id", F.explode(best).alias("best"))
+    return found.groupBy("doc_id", F.col("best.license").alias("license")).agg(
         F.count(F.lit(1)).alias("n_passages"), F.max(-F.col("best.order")).alias("dice")
     )
 
 
+def needed_words(words: Sequence[str], share: float) -> list[str]:
+    """Words of a template of which every similar enough passage has one.
+
+    Such a passage has at least `share` of the template's bigrams. Words are
+    taken, those in most bigrams first, until fewer bigrams are left without any.
+    """
+    left = set(zip(words, words[1:], strict=False))
+    least, taken = share * len(left), []
+    while left and len(left) >= least - 1e-9:
+        seen = Counter(word for pair in left for word in set(pair))
+        # A long word is rare in other texts, so it counts more.
+        taken.append(max(seen, key=lambda w: (seen[w] * (len(w) > 5), len(w), seen[w], w)))
+        left = {pair for pair in left if taken[-1] not in pair}
+    return taken
+
+
 def oracle(templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:
     """The same over the table `documents` in DuckDB's SQL."""
     values = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in sorted(templates.items()))
     factor = (2 - threshold) / threshold
     normal = "regexp_replace(lower({}), '[^a-z0-9\\n]+', ' ', 'g')"
-    words = "list_filter(regexp_split_to_array({}, '[ \\n]+'), w -> w <> '')"
-    grams = "list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))"
+    words = "list_filter(regexp_split_to_array({}, '[ \\n]+'), lambda x: x <> '')"
+    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
     return f"""
 WITH templates AS (
   SELECT license, {grams} AS grams FROM (
