@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import licenses, pieces
+from marketloom.llm import licenses, pieces, pii
 from marketloom.llm.decontaminate import find_contamination
 from marketloom.llm.near_dups import near_duplicates
 from marketloom.llm.quality_rules import judge
@@ -29,6 +29,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.n_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.PATTERNS],
+        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources stand for hosts, and a source's languages for its paths."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -80,6 +90,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_pii": op2_pii,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_license_scans": op4_license_scans,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
