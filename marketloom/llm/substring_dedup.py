@@ -8,9 +8,10 @@ A window is WINDOW consecutive words. The work goes through five steps:
 2. Each hash range tells the chunks which of their anchors other chunks have too.
 3. Chunks cut the passages around anchors that recur and send each distinct
    passage, with the smallest document that has it, to the anchor's shard.
-4. A shard confirms the windows that more than one document has, compiles them
-   into an Aho-Corasick automaton over words, and streams its passages through
-   it. Every hit in a passage of a later document is marked.
+4. A shard confirms the windows that more than one document has, joins windows
+   that only occur one after the other into phrases, compiles these into an
+   Aho-Corasick automaton over words, and streams its passages through it.
+   Every hit in a passage of a later document is marked.
 5. Chunks apply the marks to their documents.
 
 Only step 1 moves texts, once; a key that fills a third of the corpus sends one
@@ -183,6 +184,24 @@ def _send_passages(n_ranges: int):
     return send
 
 
+def _phrase_heads(same: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
+    """Which windows start a phrase, given each window's number below n and its passage.
+
+    Two windows are in one phrase if the first is always followed by the second
+    and the second always comes after the first. A passage starts with a new phrase, so
+    every occurrence of a phrase is whole, and a window is in one phrase only.
+    """
+    inner = passage[1:] == passage[:-1]
+    after = np.append(np.where(inner, same[1:], -1), -1)[: len(same)]
+    before = np.insert(np.where(inner, same[:-1], -1), 0, -1)[: len(same)]
+    one_after, one_before = np.full(n, -1), np.full(n, -1)
+    one_after[same], one_before[same] = after, before
+    for one, each in ((one_after, after), (one_before, before)):
+        one[same[one[same] != each]] = -1
+    goes_on = (one_before >= 0) & (one_after[one_before] == np.arange(n))
+    return ~goes_on[same]
+
+
 def _mark_passages(sent: pa.Table) -> pa.Table:
     """Which windows of a shard's passages stand in a smaller document too."""
     ids = [np.frombuffer(b.as_buffer(), np.int64) for b in sent["ids"]]
@@ -202,11 +221,16 @@ def _mark_passages(sent: pa.Table) -> pa.Table:
     confirmed = np.flatnonzero(first < last)
     if len(confirmed):
         _, symbols = np.unique(words.codes, return_inverse=True)
-        sample = np.zeros(len(codes), np.int64)
-        sample[same] = windows
+        heads = np.flatnonzero(_phrase_heads(same, passage[windows], len(codes)))
+        n_windows = np.diff(np.append(heads, len(windows)))
+        sample = np.full(len(codes), -1)  # one head of each phrase, at its first window
+        sample[same[heads]] = np.arange(len(heads))
+        sample = sample[confirmed][sample[confirmed] >= 0]
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for pattern, row in enumerate((symbols[sample[confirmed][:, None] + np.arange(WINDOW)] + 1).tolist()):
-            automaton.add_word(tuple(row), pattern)
+        for pattern, at in enumerate(sample.tolist()):
+            begin = windows[heads[at]]
+            phrase = symbols[begin : begin + n_windows[at] + WINDOW - 1] + 1
+            automaton.add_word(tuple(phrase.tolist()), pattern)
         automaton.make_automaton()
         # One stream: symbol 0 stands between passages and is in no pattern.
         stream = np.zeros(len(symbols) + len(sizes), np.int64)
@@ -214,8 +238,10 @@ def _mark_passages(sent: pa.Table) -> pa.Table:
         hits = np.array(list(automaton.iter(tuple(stream.tolist()))), np.int64).reshape(-1, 2)
         at = np.zeros(len(stream), np.int64)  # window of each place in the stream
         at[windows + passage[windows]] = np.arange(len(windows))
-        window = at[hits[:, 0] - WINDOW + 1]
-        marks[window] = first[confirmed][hits[:, 1]] < owner[window]
+        length = n_windows[sample][hits[:, 1]]
+        window = at[hits[:, 0] - length - WINDOW + 2]
+        later = first[same[heads[sample]]][hits[:, 1]] < owner[window]
+        marks[ranges(window[later], length[later])] = 1
     per_row = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
     bounds = np.searchsorted(passage[windows], per_row)
     return pa.table(
