@@ -8,14 +8,11 @@ from pyspark.sql import functions as F
 from marketloom.functions.numeric import pct_change, round_even, safe_int, to_number
 from marketloom.operators.quantile import exact_quantile
 from marketloom.operators.skew import (
-    HOT_ROWS,
     attach,
     collapse_copies,
     content_hash,
     copies_of,
     expand_copies,
-    hot_keys,
-    split_hot,
 )
 from marketloom.schema import (
     ANOMALY_FEATURES,
@@ -26,7 +23,7 @@ from marketloom.schema import (
     TOP_ANOMALIES,
 )
 
-# Parts that one day of a hot (region, commodity) is cut into.
+# Parts that one day of a (region, commodity) is cut into.
 _DAY_PARTS = 1024
 REPORT_KEYS = ["obs_date", "region", "commodity"]
 
@@ -54,66 +51,48 @@ def _with_tie(rows: DataFrame) -> DataFrame:
     )
 
 
-def _lag_whole(rows: DataFrame) -> DataFrame:
-    order = Window.partitionBy(*ENTITY).orderBy("obs_date", "_part", "_tie")
-    return rows.withColumn("previous_price", F.lag(PRICE).over(order))
-
+def with_previous_price(panel: DataFrame, compact: bool = False) -> DataFrame:
+    """Price of the row before in the same region and commodity.
 
-def _lag_in_parts(rows: DataFrame) -> DataFrame:
-    """The same order as `_lag_whole`, one window per part of a day.
+    Equal rows are collapsed first and a day is cut into parts by content, so
+    the work is alike for every entity and no task needs a whole one: the first
+    row of a part takes the last price of the part before it, and there are at
+    most _DAY_PARTS of those a day to put in order. Of equal rows only the first
+    follows another row, the others follow a copy of themselves.
 
-    The first row of a part takes the last price of the part before it; there
-    are at most _DAY_PARTS of those a day to put in order. Of equal rows only
-    the first follows another row, the others follow a copy of themselves.
+    With `compact` equal rows stay one row, and a column `copies` says how many
+    rows it stands for. Which rows those are depends on the panel's contents
+    alone.
     """
     part = [*ENTITY, "obs_date", "_part"]
     order = Window.partitionBy(*part).orderBy("_tie")
-    ends = rows.groupBy(*part).agg(F.max_by(PRICE, "_tie").alias("_end"))
+    rows = _with_tie(collapse_copies(panel)).withColumns(
+        {"_inside": F.lag(PRICE).over(order), "_is_last": F.lead("_tie").over(order).isNull()}
+    )
     by_time = Window.partitionBy(*ENTITY).orderBy("obs_date", "_part")
+    ends = rows.where("_is_last").select(*part, F.col(PRICE).alias("_end"))
     carried = ends.select(*part, F.lag("_end").over(by_time).alias("_carried"))
-    lagged = attach(rows.withColumn("_inside", F.lag(PRICE).over(order)), carried, part)
     before = F.coalesce("_inside", "_carried")
-    follow = F.explode(
-        F.array(
-            F.struct(before.alias("price"), F.lit(1).cast("bigint").alias("n")),
-            F.struct(F.col(PRICE).alias("price"), (F.col("copies") - 1).alias("n")),
-        )
-    )
-    return (
-        lagged.withColumn("_follow", follow)
+    first = F.struct(before.alias("price"), F.lit(1).cast("bigint").alias("n"))
+    rest = F.struct(F.col(PRICE).alias("price"), (F.col("copies") - 1).alias("n"))
+    alike = F.struct(F.col(PRICE).alias("price"), F.col("copies").alias("n"))
+    follow = F.when(before.eqNullSafe(F.col(PRICE)), F.array(alike)).otherwise(F.array(first, rest))
+    lagged = (
+        attach(rows, carried, part)
+        .withColumn("_follow", F.explode(follow))
         .where(F.col("_follow.n") > 0)
-        .withColumn("copies", F.col("_follow.n"))
-        .withColumn("previous_price", F.col("_follow.price"))
-        .drop("_inside", "_carried", "_follow")
+        .select(
+            *panel.columns,
+            F.col("_follow.n").alias("copies"),
+            F.col("_follow.price").alias("previous_price"),
+        )
     )
+    return lagged if compact else expand_copies(lagged)
 
 
-def with_previous_price(
-    panel: DataFrame, hot_rows: int = HOT_ROWS, compact: bool = False
-) -> DataFrame:
-    """Price of the row before in the same region and commodity.
-
-    An entity has one row per date unless rows repeat its key. One with more
-    than `hot_rows` rows is cut by date and content: equal rows travel as one
-    row with a number of copies, the rest is ordered in parts. With `compact`
-    they stay so, and a column `copies` says how many rows each row stands for.
-    """
-    columns = [*panel.columns, "copies", "previous_price"]
-    hot = hot_keys(panel, ENTITY, hot_rows)
-    usual, heavy = (panel, None) if hot is None else split_hot(panel, hot, ENTITY)
-    rows = _lag_whole(_with_tie(usual.withColumn("copies", F.lit(1).cast("bigint"))))
-    rows = rows.select(*columns) if compact else rows.select(*columns).drop("copies")
-    if heavy is not None:
-        parts = _lag_in_parts(_with_tie(collapse_copies(heavy))).select(*columns)
-        rows = rows.unionByName(parts if compact else expand_copies(parts))
-    return rows
-
-
-def anomaly_rows(
-    panel: DataFrame, hot_rows: int = HOT_ROWS, compact: bool = False
-) -> DataFrame:
+def anomaly_rows(panel: DataFrame, compact: bool = False) -> DataFrame:
     """Panel with deviation from the province and from the row before."""
-    rows = with_province_mean(panel, with_previous_price(panel, hot_rows, compact))
+    rows = with_province_mean(panel, with_previous_price(panel, compact))
     return rows.withColumns(
         {
             "deviation_pct": pct_change(PRICE, "province_mean"),
@@ -122,11 +101,9 @@ def anomaly_rows(
     )
 
 
-def anomaly_features(
-    panel: DataFrame, hot_rows: int = HOT_ROWS, compact: bool = False
-) -> DataFrame:
+def anomaly_features(panel: DataFrame, compact: bool = False) -> DataFrame:
     """Keys and the ten features without gaps (and `copies` when compact)."""
-    rows = anomaly_rows(panel, hot_rows, compact)
+    rows = anomaly_rows(panel, compact)
     features = [to_number(c).alias(c) for c in ANOMALY_FEATURES]
     return rows.select(*REPORT_KEYS, *features, *(["copies"] if compact else []))
 

@@ -23,6 +23,7 @@ from marketloom.operators.series import (
     spread_series,
     with_series_path,
 )
+from marketloom.operators.skew import attach
 from marketloom.schema import (
     HORIZON,
     MODEL_INPUTS,
@@ -142,7 +143,7 @@ def forecast_from_predictions(predictions: DataFrame, daily: DataFrame) -> DataF
             *error_aggregates(),
         )
     )
-    return per_step.join(series_size(daily), "commodity").select(
+    return attach(per_step, series_size(daily), ["commodity"]).select(
         "commodity",
         "step",
         days_after("last_date", F.col("step")).alias("target_date"),

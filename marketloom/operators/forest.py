@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,30 +104,38 @@ class Forest:
 
     nodes: pd.DataFrame
     sample_rows: int
+    sent: dict[str, Broadcast] = field(default_factory=dict, repr=False, compare=False)
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """(feature, cut) by tree and inner node, (path) by tree and leaf, sample rows.
 
         Every tree is filled up to full height: below a shallow leaf rows go left.
         """
-        order = {t: i for i, t in enumerate(sorted(self.nodes["tree"].unique()))}
-        inner = 2 ** max(1, int(np.log2(self.nodes["node"].max() + 1))) - 1
-        feature = np.zeros((len(order), inner), dtype="int64")
-        cut = np.full((len(order), inner), np.inf)
-        path = np.zeros((len(order), inner + 1))
-        for row in self.nodes.itertuples(index=False):
-            tree, node = order[row.tree], row.node
-            if row.feature >= 0:
-                feature[tree, node], cut[tree, node] = row.feature, row.threshold
-            else:
-                while node < inner:
-                    node = 2 * node + 1
-                path[tree, node - inner] = row.path
+        trees, tree = np.unique(self.nodes["tree"], return_inverse=True)
+        node, split = self.nodes["node"].to_numpy(), self.nodes["feature"].to_numpy()
+        inner = 2 ** max(1, int(np.log2(node.max() + 1))) - 1
+        feature = np.zeros((len(trees), inner), dtype="int64")
+        cut = np.full((len(trees), inner), np.inf)
+        path = np.zeros((len(trees), inner + 1))
+        has = split >= 0
+        feature[tree[has], node[has]] = split[has]
+        cut[tree[has], node[has]] = self.nodes["threshold"].to_numpy()[has]
+        tree, leaf = tree[~has], node[~has]
+        while (leaf < inner).any():
+            leaf = np.where(leaf < inner, 2 * leaf + 1, leaf)
+        path[tree, leaf - inner] = self.nodes["path"].to_numpy()[~has]
         return feature, cut, path, self.sample_rows
 
+    def _shared(self, spark: SparkSession) -> Broadcast:
+        """The arrays on the executors, sent once per forest and application."""
+        app = spark.sparkContext.applicationId
+        if app not in self.sent:
+            self.sent[app] = spark.sparkContext.broadcast(self.arrays())
+        return self.sent[app]
+
     def score(self, features: DataFrame) -> DataFrame:
         """Adds column `score`, in [-1, 0)."""
-        shared = features.sparkSession.sparkContext.broadcast(self.arrays())
+        shared = self._shared(features.sparkSession)
 
         @F.pandas_udf("double")
         def score_batch(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

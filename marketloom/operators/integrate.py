@@ -3,23 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from marketloom.functions.numeric import is_missing
 from marketloom.schema import CALENDAR, PANEL_COLUMNS, PRICE, WEATHER
 
-# Rows a table may have to be sent to every executor (a calendar of 270 years).
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark `df` for broadcast once a count, cut off at the bound, shows it fits.
-
-    A longer table is returned as it is and joined by a shuffle.
-    """
-    counted = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else df
-
 
 def valid_rows(panel: DataFrame) -> DataFrame:
     """Rows with a price: neither NULL nor NaN."""
@@ -34,9 +21,11 @@ def with_weather(prices: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def with_calendar(prices: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Calendar columns of the row's date."""
-    columns = calendar.select("obs_date", *CALENDAR)
-    return prices.join(broadcast_if_small(columns), "obs_date", "left")
+    """Calendar columns of the row's date.
+
+    A calendar is short, so adaptive execution broadcasts it by its real size.
+    """
+    return prices.join(calendar.select("obs_date", *CALENDAR), "obs_date", "left")
 
 
 def integrate(prices: DataFrame, weather: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.numeric import safe_int
@@ -15,6 +17,8 @@ from marketloom.functions.text import (
     severity,
     signed_percent_text,
 )
+from marketloom.operators.anomaly import anomaly_daily, anomaly_summary, top_anomalies
+from marketloom.operators.skew import attach
 from marketloom.schema import CRITICAL_SCORE, PAGE_ROWS
 
 
@@ -67,7 +71,7 @@ def forecast_records(
     )
     joined = metric_arrays(forecasts)
     for part in (meta, ahead, tested, past):
-        joined = joined.join(part, "commodity", "left")
+        joined = attach(joined, part, ["commodity"])
     fields = [c for c in joined.columns if c != "commodity"]
     return joined.select("commodity", json_record("commodity", *fields).alias("record"))
 
@@ -105,3 +109,26 @@ def anomaly_table(top: DataFrame, critical: float = CRITICAL_SCORE) -> DataFrame
         "score",
         severity("score", critical).alias("severity"),
     )
+
+
+def anomaly_record(flagged: DataFrame, model: str) -> DataFrame:
+    """The whole anomaly report as one JSON record: totals, top list, daily counts.
+
+    The lists are bounded by the length of the top list and of the calendar.
+    """
+    top = F.struct(iso_date_text("obs_date").alias("date"), "region", "commodity", "price", "score")
+    place = F.row_number().over(Window.orderBy("score", "obs_date", "region", "commodity", "price"))
+    listed = top_anomalies(flagged).withColumn("place", place)
+    day = F.struct(iso_date_text("obs_date").alias("date"), "n_anomalies")
+    parts = (
+        listed.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", top.alias("row")))), lambda x: x["row"]).alias("top")),
+        anomaly_daily(flagged).agg(F.array_sort(F.collect_list(day)).alias("daily")),
+    )
+    whole = in_one_row(anomaly_summary(flagged, model), *parts)
+    return whole.select(json_record(*whole.columns).alias("record"))
+
+
+def in_one_row(*parts: DataFrame) -> DataFrame:
+    """The columns of several one-row tables side by side."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns])

@@ -1,4 +1,4 @@
-"""Keys that hold too many rows for one task, and copies of one row."""
+"""Copies of one row, and joins in which NULL is a key."""
 
 from __future__ import annotations
 
@@ -6,13 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A key with fewer rows than this is left to one task.
-HOT_ROWS = 1_000_000
-# Longest list of hot keys. The heaviest keys come first, so a key that is not
-# on a full list holds at most 1 / HOT_LIST of all rows.
-HOT_LIST = 50_000
 # One row stands for at most this many copies while copies are spread out.
 _COPY_BLOCK = 100_000
 
@@ -30,37 +24,6 @@ def content_hash(columns: Sequence[str], *salt) -> Column:
     return F.xxhash64(*[F.lit(s) for s in salt], *[F.col(c) for c in columns])
 
 
-def hot_keys(
-    rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> DataFrame | None:
-    """The keys with more than `hot_rows` rows, or None.
-
-    Counts are combined on the map side, and the driver sees at most HOT_LIST
-    keys, so the result is small enough to broadcast at any table size.
-    """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    heavy = (
-        counts.where(F.col("n_rows") > hot_rows)
-        .orderBy(F.desc("n_rows"), *keys)
-        .limit(HOT_LIST)
-        .collect()
-    )
-    if not heavy:
-        return None
-    schema = T.StructType([counts.schema[key] for key in keys])
-    return rows.sparkSession.createDataFrame(
-        [tuple(row[key] for key in keys) for row in heavy], schema
-    )
-
-
-def split_hot(
-    rows: DataFrame, hot: DataFrame, keys: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """(rows of other keys, rows of hot keys)."""
-    small = F.broadcast(hot)
-    return attach(rows, small, keys, "left_anti"), attach(rows, small, keys, "left_semi")
-
-
 def collapse_copies(rows: DataFrame) -> DataFrame:
     """One row per distinct content, with the number of `copies`.
 

@@ -26,14 +26,19 @@ from marketloom.operators.forecast import (
     forecast_from_predictions,
     ridge_predictions,
     series_meta,
-    split_paths,
 )
 from marketloom.operators.forest import FOREST_MODEL, Forest, fit_forest
 from marketloom.operators.profile import dataset_info
 from marketloom.operators.report import forecast_records
-from marketloom.operators.series import daily_series, history_tail, naive_backtest
+from marketloom.operators.series import (
+    daily_series,
+    history_tail,
+    naive_backtest,
+    spread_series,
+    with_series_path,
+)
 from marketloom.schema import ANOMALY_RATE, N_TREES, RESULT_VERSION, SEED
-from marketloom.scratch import written
+from marketloom.scratch import scratch_folder, written
 from marketloom.sources.panel import cached
 from marketloom.sources.results import ResultStore
 
@@ -58,13 +63,15 @@ def detect_anomalies(
     n_trees: int = N_TREES,
     seed: int = SEED,
     keep: Callable[[DataFrame, str], DataFrame] = written,
+    temp: Callable[[DataFrame, str], DataFrame] = written,
 ) -> AnomalyRun:
     """Features, forest, scores and flags of a panel.
 
-    Features and scores are written once, the scores by `keep`: sampling,
-    quantile and reports then read only the columns they need from there.
+    Features are written once by `temp` and scores by `keep`: sampling, quantile
+    and reports then read only the columns they need from there. The features
+    are not needed once the scores are there, which hold them too.
     """
-    features = written(anomaly_features(panel, compact=True), "features")
+    features = temp(anomaly_features(panel, compact=True), "features")
     forest = fit_forest(features, n_trees=n_trees, seed=seed)
     if forest is None:
         scored = keep(features.withColumn("score", F.lit(None).cast("double")), "scored")
@@ -74,10 +81,13 @@ def detect_anomalies(
     return AnomalyRun(flag_anomalies(scored, threshold), forest, threshold)
 
 
-def forecast_results(daily: DataFrame) -> dict[str, DataFrame]:
-    """Forecast tables of all series; each model series is fitted once."""
-    modelled, short = split_paths(daily)
-    predictions = written(ridge_predictions(modelled), "predictions")
+def forecast_results(
+    daily: DataFrame, temp: Callable[[DataFrame, str], DataFrame] = written
+) -> dict[str, DataFrame]:
+    """Forecast tables of all series; each is routed once and each model series fitted once."""
+    routed = temp(with_series_path(spread_series(daily)), "routed")
+    modelled, short = (routed.where(F.col("path") == p).drop("path") for p in ("model", "baseline"))
+    predictions = temp(ridge_predictions(modelled), "predictions")
     forecasts = forecast_from_predictions(predictions, modelled).unionByName(
         baseline_forecast(short)
     )
@@ -122,7 +132,7 @@ def run_batch(
         together(spark, *[partial(save, name, table) for name, table in made.items()])
 
     def forecasts() -> None:
-        save_all(forecast_results(written(daily_series(rows), "daily")))
+        save_all(forecast_results(temp(daily_series(rows), "daily"), temp))
         forecast = tables["forecast"]
         save_all(
             {
@@ -135,7 +145,7 @@ def run_batch(
         )
 
     def anomalies() -> None:
-        found = detect_anomalies(rows, keep=lambda table, name: save(name, table))
+        found = detect_anomalies(rows, keep=lambda table, name: save(name, table), temp=temp)
         made = {
             "threshold": spark.createDataFrame([(found.threshold,)], "threshold double"),
             "anomaly_summary": anomaly_summary(found.flagged, FOREST_MODEL),
@@ -146,7 +156,7 @@ def run_batch(
             made["forest"] = found.forest.node_table(spark)
         save_all(made)
 
-    with cached(panel) as rows:
+    with cached(panel) as rows, scratch_folder(spark, "batch") as temp:
         together(spark, lambda: save("dataset_info", dataset_info(rows)), forecasts, anomalies)
     store.finish(run, sorted(tables))
     return tables

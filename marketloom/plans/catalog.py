@@ -20,6 +20,7 @@ from marketloom.operators import (
     report,
     series,
 )
+from marketloom.operators.skew import expand_copies
 from marketloom.plans import batch, panels
 from marketloom.plans.oracle import over
 from marketloom.plans.panels import keep, panel, short_panel, table
@@ -452,13 +453,23 @@ def daily_series(spark, sf_dir):
 @query(
     "a06_means",
     over(
-        "daily",
-        f" SELECT obs_date, {round_list(*_DAILY_MEANS)} FROM daily WHERE commodity = 'LARGE'",
+        "panel",
+        """ SELECT commodity, obs_date, round(avg(price), 6) AS price,
+          round(avg(CASE WHEN region_id % 3 <> 0 THEN temp_avg_c END), 6) AS temp_avg_c,
+          round(avg(CASE WHEN rain_mm >= 5 THEN rain_mm END), 6) AS rain_mm,
+          round(avg(CASE WHEN is_weekend = 0 THEN humidity_avg_pct END), 6) AS humidity_avg_pct
+        FROM panel GROUP BY 1, 2""",
     ),
 )
-def means_of_one_series(spark, sf_dir):
-    one = series.daily_series(panel(spark, sf_dir), "LARGE")
-    return rounded(one.select("obs_date", *_DAILY_MEANS), *_DAILY_MEANS)
+def means_with_gaps(spark, sf_dir):
+    """Missing cells count neither up nor down; a day without any has no mean."""
+    gaps = {
+        "temp_avg_c": F.when(F.col("region_id") % 3 != 0, F.col("temp_avg_c")),
+        "rain_mm": F.when(F.col("rain_mm") >= 5, F.col("rain_mm")),
+        "humidity_avg_pct": F.when(F.col("is_weekend") == 0, F.col("humidity_avg_pct")),
+    }
+    days = series.daily_series(panel(spark, sf_dir).withColumns(gaps))
+    return rounded(days.select(*SERIES_DAY, *_DAILY_MEANS), *_DAILY_MEANS)
 
 
 @query(
@@ -1156,6 +1167,50 @@ def forecast_records(spark, sf_dir):
     )
 
 
+# Display tables and nested records, on results that SQL can compute too.
+
+@query(
+    "r01_backtest_chart",
+    over(
+        "backtest",
+        """ SELECT commodity, obs_date AS origin_date, cast(round_even(actual, 0) AS bigint) AS actual,
+          cast(round_even(prediction, 0) AS bigint) AS prediction FROM backtest""",
+    ),
+)
+def backtest_chart(spark, sf_dir):
+    tested = series.naive_backtest(short_daily(spark, sf_dir))
+    return report.evaluation_chart(
+        tested.withColumn("step", F.lit(1)).withColumnRenamed("obs_date", "origin_date")
+    )
+
+
+@query(
+    "r02_anomaly_record",
+    over(
+        "flagged",
+        """ SELECT count(*) AS total_rows, sum(is_anom) AS total_anomalies,
+          (SELECT count(*) FROM (SELECT DISTINCT obs_date FROM flagged)) AS days,
+          least(50, sum(is_anom)) AS n_top,
+          (SELECT cast(min(obs_date) AS varchar) FROM flagged) AS first_day FROM flagged""",
+    ),
+)
+def anomaly_record(spark, sf_dir):
+    """The report as one JSON record, read again."""
+    record = report.anomaly_record(plain_flagged(spark, sf_dir), "plain")
+    read = F.from_json(
+        "record",
+        "total_rows bigint, total_anomalies bigint, top array<struct<date:string>>,"
+        " daily array<struct<date:string,n_anomalies:bigint>>",
+    )
+    return record.select(read.alias("r")).select(
+        "r.total_rows",
+        "r.total_anomalies",
+        F.size("r.daily").cast("bigint").alias("days"),
+        F.size("r.top").cast("bigint").alias("n_top"),
+        F.col("r.daily")[0]["date"].alias("first_day"),
+    )
+
+
 # Forecast and anomaly operators.
 
 
@@ -1178,11 +1233,73 @@ def baseline_forecast(spark, sf_dir):
     return short_forecast(spark, sf_dir)
 
 
+_LAST_DAYS = """SELECT commodity, max(obs_date) AS last_date, count(*) AS n_days,
+    greatest(count(*) - 36, 0) AS n_samples FROM daily GROUP BY 1"""
+_STEPS = "CROSS JOIN range(1, 8) AS steps(step)"
+
+
+@query(
+    "m03_forecast_frame",
+    over(
+        "daily",
+        f""" SELECT commodity, cast(step AS int) AS step,
+          cast(last_date + cast(step AS int) AS date) AS target_date, true AS valid
+        FROM ({_LAST_DAYS}) {_STEPS}""",
+    ),
+)
+def model_forecast_frame(spark, sf_dir):
+    """What a model forecast has whatever its fit: steps, dates, prices not below 0."""
+    valid = F.coalesce(F.col(PRICE) >= 0, F.lit(False))
+    return forecast.model_forecast(predictions(spark, sf_dir)).select(
+        "commodity", "step", "target_date", valid.alias("valid")
+    )
+
+
+@query(
+    "m03_backtest_actuals",
+    over(
+        "daily",
+        """, numbered AS (SELECT *, row_number() OVER (PARTITION BY commodity ORDER BY obs_date) - 1 AS i,
+            count(*) OVER (PARTITION BY commodity) AS n FROM daily),
+        split AS (SELECT commodity, n - 36 AS samples,
+            greatest(1, least(cast(floor((n - 36) * 0.8) AS bigint), n - 37)) AS n_train
+          FROM (SELECT DISTINCT commodity, n FROM numbered))
+        SELECT o.commodity, cast(step AS int) AS step, o.obs_date AS origin_date, round(t.price, 6) AS actual
+        FROM numbered o JOIN split USING (commodity) CROSS JOIN range(1, 8) AS steps(step)
+        JOIN numbered t ON t.commodity = o.commodity AND t.i = o.i + step - 1
+        WHERE o.i >= 30 + n_train AND o.i < 30 + samples""",
+    ),
+)
+def backtest_actuals(spark, sf_dir):
+    """The hold-out part of every series: samples, dates and true prices."""
+    rows = forecast.backtest(predictions(spark, sf_dir))
+    return rounded(rows.select("commodity", "step", "origin_date", "actual"), "actual")
+
+
 @query("m03_model_forecast")
 def model_forecast(spark, sf_dir):
     return forecast.model_forecast(predictions(spark, sf_dir))
 
 
+@query(
+    "m04_forecast_frame",
+    over(
+        "daily baseline",
+        f""" SELECT commodity, step, target_date, n_days, n_samples, model, price, mae FROM baseline
+        UNION ALL SELECT commodity, cast(step AS int), cast(last_date + cast(step AS int) AS date), n_days,
+          n_samples, '{forecast.RIDGE_MODEL}', NULL, NULL FROM ({_LAST_DAYS}) {_STEPS}""",
+    ),
+)
+def all_forecasts_frame(spark, sf_dir):
+    """Every series; values of those that take the baseline."""
+    rows = forecast.forecast_all(both_daily(spark, sf_dir))
+    plain = F.col("model") != forecast.RIDGE_MODEL
+    return rows.select(
+        "commodity", "step", "target_date", "n_days", "n_samples", "model",
+        F.when(plain, F.col(PRICE)).alias(PRICE), F.when(plain, F.col("mae")).alias("mae"),
+    )
+
+
 @query("m04_all_forecasts")
 def all_forecasts(spark, sf_dir):
     return forecast.forecast_all(both_daily(spark, sf_dir))
@@ -1201,6 +1318,52 @@ def anomaly_features(spark, sf_dir):
     return rounded(anomaly.anomaly_features(panel(spark, sf_dir)), *ANOMALY_FEATURES)
 
 
+@query(
+    "m06_forest_shape",
+    over(
+        "panel",
+        """ SELECT count(*) AS trees, count(*) AS roots, true AS shallow, least(256, (SELECT count(*) FROM panel)) AS rows
+        FROM range(200)""",
+    ),
+)
+def forest_shape(spark, sf_dir):
+    """200 trees with a root each, at most 8 splits deep."""
+    nodes = fitted_forest(spark, sf_dir).node_table(spark)
+    return nodes.agg(
+        F.countDistinct("tree").alias("trees"),
+        F.sum((F.col("node") == 0).cast("int")).alias("roots"),
+        (F.max("node") < 2**9 - 1).alias("shallow"),
+        F.max("sample_rows").cast("bigint").alias("rows"),
+    )
+
+
+@query(
+    "m07_scored_rows",
+    over("panel", " SELECT obs_date, region, commodity, price, true AS in_range FROM panel"),
+)
+def scored_rows(spark, sf_dir):
+    """Every row has a score, in [-1, 0)."""
+    inside = F.coalesce((F.col("score") >= -1) & (F.col("score") < 0), F.lit(False))
+    rows = forest_scored(spark, sf_dir).select("obs_date", *ENTITY, PRICE, inside.alias("in_range"), "copies")
+    return expand_copies(rows)
+
+
+@query(
+    "m08_flagged_share",
+    over(
+        "panel",
+        """ SELECT count(*) AS total_rows, true AS in_share, count(DISTINCT obs_date) AS days FROM panel""",
+    ),
+)
+def flagged_share(spark, sf_dir):
+    """All rows are counted, at most 3 % are flagged, and every date is there."""
+    flagged = forest_flagged(spark, sf_dir)
+    summary = anomaly.anomaly_summary(flagged, forest.FOREST_MODEL)
+    days = anomaly.anomaly_daily(flagged).agg(F.count(F.lit(1)).alias("days"), F.sum("n_anomalies").alias("n"))
+    few = (F.col("total_anomalies") <= F.ceil(F.col("total_rows") * 0.03)) & (F.col("n") == F.col("total_anomalies"))
+    return report.in_one_row(summary, days).select("total_rows", few.alias("in_share"), "days")
+
+
 @query("m06_forest_nodes")
 def forest_nodes(spark, sf_dir):
     return fitted_forest(spark, sf_dir).node_table(spark)
@@ -1226,7 +1389,13 @@ def forest_daily(spark, sf_dir):
     return anomaly.anomaly_daily(forest_flagged(spark, sf_dir))
 
 
-@query("m09_batch_run")
+@query(
+    "m09_batch_run",
+    over(
+        "daily",
+        f" SELECT commodity, n_days, n_samples, '{forecast.RIDGE_MODEL}' AS model FROM ({_LAST_DAYS})",
+    ),
+)
 def batch_run(spark, sf_dir):
     tables = batch.run_batch(panel(spark, sf_dir), scratch_path(spark, "results"))
     return tables["series_meta"]
@@ -1265,6 +1434,14 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumns(none)
 
 
+def event_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar of the event dates, stored once."""
+    dates = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("obs_date"))
+    return once(
+        spark, sf_dir, "event_calendar", lambda: written(panels.calendar_of(dates), "event_calendar")
+    )
+
+
 _FEED_SQL = """SELECT event_id, cast(ts AS date) AS obs_date, event_type AS commodity,
     value AS price FROM events"""
 _FEED_COLUMNS = ["event_id", "obs_date", "commodity", PRICE]
@@ -1290,8 +1467,10 @@ def stream_ingest(spark, sf_dir):
 
 @query("st2_drop_replays", _FEED_SQL)
 def stream_drop_replays(spark, sf_dir):
-    """The feed read twice over; each event comes out once."""
-    twice = event_feed(spark, sf_dir).unionByName(event_feed(spark, sf_dir))
+    """The feed with each event twice, first without its price; each comes out once, with it."""
+    priced = F.explode(F.array(F.lit(False), F.lit(True)))
+    twice = event_feed(spark, sf_dir).withColumn("_priced", priced)
+    twice = twice.withColumn(PRICE, F.when(F.col("_priced"), F.col(PRICE))).drop("_priced")
     twice = feed.combine_replays(twice, ["event_id"])
     rows = feed.drop_replays(feed.ingest(twice, "60 days"), ["event_id"])
     return feed.drained(rows.select(*_FEED_COLUMNS), "replays")
@@ -1319,7 +1498,7 @@ def stream_late_data(spark, sf_dir):
     ),
 )
 def stream_calendar(spark, sf_dir):
-    dates = panels.calendar_of(panels.event_rows(spark, sf_dir))
+    dates = event_calendar(spark, sf_dir)
     rows = feed.with_calendar(feed.ingest(event_feed(spark, sf_dir)), dates)
     return feed.drained(rows.select("event_id", "commodity", *CALENDAR), "calendar")
 
@@ -1329,7 +1508,7 @@ def stream_alerts(spark, sf_dir):
     found = once(
         spark, sf_dir, "short_run", lambda: batch.detect_anomalies(short_panel(spark, sf_dir))
     )
-    dates = panels.calendar_of(panels.event_rows(spark, sf_dir))
+    dates = event_calendar(spark, sf_dir)
     rows = feed.with_calendar(feed.ingest(event_feed(spark, sf_dir)), dates)
     root = scratch_path(spark, "alerts")
     alerts.start_alerts(

@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only for a local master."""
+    """The session's checkpoint folder; its warehouse only for a local master."""
     context = spark.sparkContext
     root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that every executor can reach")
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="marketloom-")
-    return _local_roots[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -30,9 +27,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """The same rows read back from Parquet: cuts lineage and outlives executors."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name) if root is None else f"{root}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies; a missing one is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A `written` whose tables are removed at the end of the block."""
+    root = scratch_path(spark, name)
+    try:
+        yield lambda df, table: written(df, table, root)
+    finally:
+        remove(spark, root)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.anomaly import anomalous_rows, anomaly_features, flag_anomalies
 from marketloom.operators.forest import Forest
 from marketloom.schema import ENTITY, PANEL_COLUMNS, PANEL_SCHEMA, PRICE
+from marketloom.scratch import remove
 from marketloom.streaming.feed import closed_days
 
 
@@ -17,11 +18,17 @@ class AlertWriter:
 
     `root/alerts/batch_id=N` holds the alerts of batch N and
     `root/latest/batch_id=N` the newest row of each (region, commodity) after
-    it. Batch N starts from the latest rows before N, so a batch that is run
-    again writes the same files again.
+    it, also where no day was closed. Batch N starts from the latest rows of the
+    batch before, so a batch that is run again writes the same files again.
+    States older than that are removed.
+
+    A day's rows that repeat a key are averaged into one (`closed_days`), where
+    the batch report keeps each of them.
     """
 
     def __init__(self, root: str, forest: Forest, threshold: float, start: DataFrame | None = None):
+        if forest is None:
+            raise ValueError("alerts need a fitted forest; an empty panel has none")
         self.root = root.rstrip("/")
         self.forest = forest
         self.threshold = threshold
@@ -32,31 +39,26 @@ class AlertWriter:
         days = batch.select(*PANEL_COLUMNS).persist()
         try:
             first = days.agg(F.min("obs_date").alias("d")).first()["d"]
-            if first is None:
-                return
             before = self._latest_before(spark, batch_id)
             known = days
             if before is not None:
-                known = days.unionByName(before.where(F.col("obs_date") < first))
-            scored = self.forest.score(anomaly_features(known)).where(F.col("obs_date") >= first)
-            alerts = anomalous_rows(flag_anomalies(scored, self.threshold)).drop("is_anom")
-            alerts.write.mode("overwrite").parquet(f"{self.root}/alerts/batch_id={batch_id}")
-            newest_rows(known).write.mode("overwrite").parquet(
-                f"{self.root}/latest/batch_id={batch_id}"
-            )
+                known = days.unionByName(before if first is None else before.where(F.col("obs_date") < first))
+            if first is not None:
+                scored = self.forest.score(anomaly_features(known)).where(F.col("obs_date") >= first)
+                alerts = anomalous_rows(flag_anomalies(scored, self.threshold)).drop("is_anom")
+                alerts.write.mode("overwrite").parquet(f"{self.root}/alerts/batch_id={batch_id}")
+            newest_rows(known).write.mode("overwrite").parquet(self._state(batch_id))
+            remove(spark, self._state(batch_id - 2))
         finally:
             days.unpersist()
 
+    def _state(self, batch_id: int) -> str:
+        return f"{self.root}/latest/batch_id={batch_id}"
+
     def _latest_before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """Newest rows after the last batch before this one that had any."""
-        for earlier in range(batch_id - 1, -1, -1):
-            try:
-                return spark.read.schema(PANEL_SCHEMA).parquet(
-                    f"{self.root}/latest/batch_id={earlier}"
-                )
-            except AnalysisException as missing:
-                if "PATH_NOT_FOUND" not in str(missing):
-                    raise
+        """Newest rows after the batch before; at first those of the starting panel."""
+        if batch_id > 0:
+            return spark.read.schema(PANEL_SCHEMA).parquet(self._state(batch_id - 1))
         return None if self.start is None else newest_rows(self.start)
 
 
@@ -93,6 +95,13 @@ def start_alerts(
 
 
 def read_alerts(spark: SparkSession, root: str, like: DataFrame | None = None) -> DataFrame:
-    """All alerts written so far."""
+    """All alerts written so far; before the first one, no rows with the schema of `like`."""
     reader = spark.read if like is None else spark.read.schema(like.schema)
-    return reader.parquet(f"{root.rstrip('/')}/alerts")
+    try:
+        return reader.parquet(f"{root.rstrip('/')}/alerts")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        if like is None:
+            raise ValueError(f"no alerts under {root} yet; pass `like` to get an empty table") from missing
+        return spark.createDataFrame([], like.schema)

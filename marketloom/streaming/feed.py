@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.operators.integrate import broadcast_if_small, valid_rows
+from marketloom.operators.integrate import valid_rows
 from marketloom.schema import CALENDAR, ENTITY, PANEL_SCHEMA, PRICE
 from marketloom.scratch import scratch_path
 
@@ -74,8 +74,10 @@ def combine_replays(
 ) -> DataFrame:
     """Leave out repeats of a key inside each Arrow batch of the source.
 
-    Goes before `ingest`. It needs no shuffle, and of a key that fills the feed
-    only one record per batch is left for `drop_replays` to compare.
+    Goes before `ingest`. Records without a price go first, as `ingest` would
+    drop them: they must not stand in for a repeat that has one. It needs no
+    shuffle, and of a key that fills the feed only one record per batch is left
+    for `drop_replays` to compare.
     """
 
     def first_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +85,7 @@ def combine_replays(
             repeats = batch.select(list(keys)).to_pandas().duplicated()
             yield batch.filter(pa.array(~repeats))
 
-    return rows.mapInArrow(first_of_batch, rows.schema)
+    return valid_rows(rows).mapInArrow(first_of_batch, rows.schema)
 
 
 def daily_means(rows: DataFrame) -> DataFrame:
@@ -115,9 +117,12 @@ def closed_days(rows: DataFrame) -> DataFrame:
 
 
 def with_calendar(rows: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Stream rows with the calendar columns of their date."""
-    columns = broadcast_if_small(calendar.select("obs_date", *CALENDAR))
-    return rows.drop(*CALENDAR).join(columns, "obs_date", "left")
+    """Stream rows with the calendar columns of their date.
+
+    Give it a stored calendar: it is read again for every batch, and a stored
+    one has a known size, so that Spark broadcasts it by itself.
+    """
+    return rows.drop(*CALENDAR).join(calendar.select("obs_date", *CALENDAR), "obs_date", "left")
 
 
 def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:

@@ -139,9 +139,17 @@ def test_forest_is_repeatable_and_can_be_stored(spark, panel, found):
         assert np.array_equal(a, b)
 
 
-def test_hot_entity_changes_nothing(panel, found):
-    features = anomaly.anomaly_features(panel, hot_rows=10, compact=True)
-    assert fit_forest(features, n_trees=50).nodes.equals(found.forest.nodes)
+def test_layout_of_copies_changes_nothing(panel, found):
+    """Many copies of a few rows: the forest is the same however they lie."""
+    copies = panel.limit(3).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(400)))).drop("_n")
+    mixed = panel.unionByName(copies)
+    forests = [
+        fit_forest(anomaly.anomaly_features(rows, compact=True), n_trees=50)
+        for rows in (mixed, mixed.orderBy("price").repartition(5, "region"))
+    ]
+    order = ["tree", "node"]
+    one, other = (f.nodes.sort_values(order).reset_index(drop=True) for f in forests)
+    assert one.equals(other)
 
 
 def test_constant_rows(make_panel):

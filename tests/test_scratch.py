@@ -3,14 +3,15 @@ from types import SimpleNamespace
 
 import pytest
 
-from marketloom.scratch import scratch_path, scratch_root, written
+from marketloom.scratch import scratch_folder, scratch_path, scratch_root, written
 
 
 def session(master, setting=None, checkpoint=None):
     context = SimpleNamespace(
         master=master, applicationId=f"app-{master}", getCheckpointDir=lambda: checkpoint
     )
-    conf = SimpleNamespace(get=lambda key, default: setting or default)
+    known = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": "file:/w/"}
+    conf = SimpleNamespace(get=lambda key, default: known[key] or default)
     return SimpleNamespace(sparkContext=context, conf=conf)
 
 
@@ -24,9 +25,16 @@ def test_a_cluster_must_name_its_folder():
         scratch_root(session("spark://host:7077"))
 
 
-def test_a_local_session_gets_one_of_its_own():
-    root = scratch_root(session("local[2]"))
-    assert os.path.isdir(root) and scratch_root(session("local[2]")) == root
+def test_a_local_session_uses_its_warehouse():
+    assert scratch_root(session("local[2]")) == "file:/w/_scratch"
+
+
+def test_a_folder_goes_with_its_block(spark, make_panel):
+    with scratch_folder(spark, "block") as temp:
+        rows = temp(make_panel([{"day": 0}]), "rows")
+        path = rows.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path) and rows.count() == 1
+    assert not os.path.exists(os.path.dirname(os.path.dirname(path)))
 
 
 def test_written_rows_come_back(spark, make_panel):

@@ -31,17 +31,36 @@ def bag(df, *columns):
 SHOWN = ["obs_date", "region", "commodity", "price", "rain_mm", "previous_price"]
 
 
-@pytest.mark.parametrize("hot_rows", [20, 1])
-def test_parts_give_the_same_lag_as_one_window(repeated, hot_rows):
-    whole = anomaly.with_previous_price(repeated)
-    parts = anomaly.with_previous_price(repeated, hot_rows=hot_rows)
-    assert skew.hot_keys(repeated, ["region", "commodity"], hot_rows) is not None
-    assert bag(whole, *SHOWN) == bag(parts, *SHOWN)
+def test_parts_give_one_order_by_date_and_content(repeated, monkeypatch):
+    """Against one window per entity over all rows, copies included."""
+    content = F.xxhash64(*repeated.columns)
+    order = Window.partitionBy("region", "commodity").orderBy(
+        "obs_date", F.pmod(content, F.lit(anomaly._DAY_PARTS)), content
+    )
+    whole = repeated.withColumn("previous_price", F.lag("price").over(order))
+    assert bag(whole, *SHOWN) == bag(anomaly.with_previous_price(repeated), *SHOWN)
+
+
+def test_building_the_features_runs_no_job(spark, repeated):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job expected")
+    try:
+        anomaly.anomaly_features(repeated, compact=True)
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_copies_are_a_function_of_the_contents(repeated):
+    """The compact rows do not depend on how the panel is laid out."""
+    shuffled = repeated.orderBy("price", "rain_mm").repartition(7, "region")
+    a, b = (anomaly.anomaly_features(p, compact=True) for p in (repeated, shuffled))
+    assert bag(a, *a.columns) == bag(b, *a.columns)
 
 
 def test_lag_is_one_order_of_the_rows(repeated):
     """Prices and previous prices of an entity differ by one first and one last row."""
-    rows = anomaly.with_previous_price(repeated, hot_rows=20).where("region = 'hot'").collect()
+    rows = anomaly.with_previous_price(repeated).where("region = 'hot'").collect()
     prices = Counter(r.price for r in rows)
     before = Counter(r.previous_price for r in rows)
     assert before.pop(None) == 1
@@ -49,8 +68,8 @@ def test_lag_is_one_order_of_the_rows(repeated):
 
 
 def test_compact_rows_stand_for_all_rows(repeated):
-    compact = anomaly.anomaly_features(repeated, hot_rows=20, compact=True)
-    whole = anomaly.anomaly_features(repeated, hot_rows=20)
+    compact = anomaly.anomaly_features(repeated, compact=True)
+    whole = anomaly.anomaly_features(repeated)
     assert compact.count() < whole.count() == repeated.count()
     assert bag(skew.expand_copies(compact), *whole.columns) == bag(whole, *whole.columns)
 
@@ -69,18 +88,6 @@ def test_copies_come_back_in_blocks(make_panel, monkeypatch):
     assert bag(skew.expand_copies(packed), *panel.columns) == bag(panel, *panel.columns)
 
 
-def test_no_hot_keys_below_the_bound(repeated):
-    assert skew.hot_keys(repeated, ["region"], 10_000) is None
-    hot = skew.hot_keys(repeated, ["region"], 100)
-    assert [r.region for r in hot.collect()] == ["hot"]
-
-
-def test_hot_key_may_be_null(make_panel):
-    panel = make_panel([{"day": 0, "region": None, "price": float(i)} for i in range(9)] + [{"day": 0}])
-    usual, heavy = skew.split_hot(panel, skew.hot_keys(panel, ["region"], 5), ["region"])
-    assert (usual.count(), heavy.count()) == (1, 9)
-
-
 @pytest.fixture
 def eager_splitting(spark):
     """No broadcasts, and adaptive execution that splits even small partitions."""

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators.integrate import broadcast_if_small, integrate, valid_rows
+from marketloom.operators.integrate import integrate, valid_rows, with_calendar
 from marketloom.schema import PANEL_COLUMNS, PANEL_SCHEMA, SOURCE_HEADER, WEATHER, CALENDAR
 from marketloom.sources import panel as files
 
@@ -77,12 +77,17 @@ def test_integration_keeps_prices_without_weather(spark, make_panel):
     assert joined.where(F.col("month").isNull()).count() == 0
 
 
-def test_only_small_tables_are_broadcast(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-
-    assert hinted(broadcast_if_small(spark.range(10), 10))
-    assert not hinted(broadcast_if_small(spark.range(11), 10))
+def test_a_short_calendar_is_broadcast_without_a_job(spark, make_panel):
+    panel = make_panel([{"day": d, "region": r} for d in range(3) for r in "AB"])
+    calendar = panel.select("obs_date", *CALENDAR).distinct()
+    spark.sparkContext.setJobGroup("joining", "no job expected")
+    try:
+        joined = with_calendar(panel.drop(*CALENDAR), calendar)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("joining")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    joined.collect()
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
 
 
 def test_valid_rows(make_panel):
