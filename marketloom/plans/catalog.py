@@ -1188,9 +1188,9 @@ def backtest_chart(spark, sf_dir):
     "r02_anomaly_record",
     over(
         "flagged",
-        """ SELECT count(*) AS total_rows, sum(is_anom) AS total_anomalies,
+        """ SELECT count(*) AS total_rows, cast(sum(is_anom) AS bigint) AS total_anomalies,
           (SELECT count(*) FROM (SELECT DISTINCT obs_date FROM flagged)) AS days,
-          least(50, sum(is_anom)) AS n_top,
+          cast(least(50, sum(is_anom)) AS bigint) AS n_top,
           (SELECT cast(min(obs_date) AS varchar) FROM flagged) AS first_day FROM flagged""",
     ),
 )
