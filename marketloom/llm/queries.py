@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import licenses, pieces, pii
+from marketloom.llm import divergence, licenses, merkle, pieces, pii
+from marketloom.llm.class_lm import score_texts
 from marketloom.llm.decontaminate import find_contamination
 from marketloom.llm.near_dups import near_duplicates
 from marketloom.llm.quality_rules import judge
@@ -88,6 +89,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(counts)
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.verify(merkle.manifest(_table(spark, sf_dir, "documents")))
+    proof = F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
@@ -99,7 +114,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_token_counts": op10_token_counts,
+    "op11_lm_scoring": op11_lm_scoring,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_source_divergence": op13_source_divergence,
 }
 SQL: dict[str, str] = {
     "op4_license_scans": licenses.oracle(),
+    "op12_merkle_manifest": merkle.oracle(),
+    "op13_source_divergence": divergence.oracle(),
 }
