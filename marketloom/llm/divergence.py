@@ -41,9 +41,9 @@ MAP_BITS = 27
 # Bits of one row of Spark's bit map functions.
 _ROW_BITS = 32768
 # Text whose chunks are counted at one time.
-_SLICE = 4 << 20
+_SLICE = 16 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_CHUNKS = "lang string, source string, chunk string, code bigint, n bigint, docs bigint"
+_CHUNKS = "lang string, source string, chunk string, n bigint, docs bigint"
 
 
 def _strings(words: Words, at: np.ndarray) -> pa.Array:
@@ -55,17 +55,6 @@ def _strings(words: Words, at: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(at), buffers).cast(pa.string())
 
 
-def _per_document(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct chunks of each text: the text, a place of the chunk, and how often it stands there."""
-    text = words.text_of_word()
-    order = np.lexsort((words.codes, text))
-    code, text = words.codes[order], text[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (code[1:] != code[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    return text[first], order[first], np.diff(np.append(first, len(order)))
-
-
 def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunk counts by language and source of some texts at a time."""
     for batch in slices(batches, limit=_SLICE):
@@ -73,25 +62,33 @@ def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         groups: dict[tuple[str, str], int] = {}
         names = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
         of_text = np.array([groups.setdefault(name, len(groups)) for name in names], np.int64)
-        text, at, n = _per_document(words)
-        group, code = of_text[text], words.codes[at]
-        order = np.lexsort((code, group))
-        group, code, at, n = group[order], code[order], at[order], n[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (code[1:] != code[:-1]) | (group[1:] != group[:-1])
-        first = np.flatnonzero(new)
+        kinds, at, local = np.unique(words.codes, return_index=True, return_inverse=True)
+        width = max(len(kinds), 1)
+        in_text, n = np.unique(words.text_of_word() * width + local, return_counts=True)
+        in_group = of_text[in_text // width] * width + in_text % width
+        order = np.argsort(in_group)
+        in_group, n = in_group[order], n[order]
+        first = np.flatnonzero(np.append(True, in_group[1:] != in_group[:-1])) if len(n) else np.zeros(0, np.int64)
         langs, sources = (pa.array(x, pa.string()) for x in zip(*groups, strict=True))
-        take = pa.array(group[first])
-        sums = np.add.reduceat(n, first) if len(first) else n
+        take = pa.array(in_group[first] // width)
         columns = [
             langs.take(take),
             sources.take(take),
-            _strings(words, at[first]),
-            pa.array(code[first].view(np.int64)),
-            pa.array(sums.astype(np.int64)),
-            pa.array(np.diff(np.append(first, len(order))).astype(np.int64)),
+            _strings(words, at[in_group[first] % width]),
+            pa.array(np.add.reduceat(n, first) if len(first) else n),
+            pa.array(np.diff(np.append(first, len(n))).astype(np.int64)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "code", "n", "docs"])
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "n", "docs"])
+
+
+def _place(codes: np.ndarray) -> np.ndarray:
+    """Bits of the map that stand for these codes."""
+    return (codes & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_place(find_words(batch.column("chunk"), SPACED).codes))], ["place"])
 
 
 def _chunks_in_map(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -99,20 +96,23 @@ def _chunks_in_map(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         bits = shared.value
         for batch in slices(batches, limit=_SLICE):
             words = find_words(batch.column("text"), SPACED)
-            text, at, _ = _per_document(words)
-            place = (words.codes[at] & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)
-            asked = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            row = pa.array(text[asked])
-            columns = [batch.column("lang").take(row), batch.column("doc").take(row), _strings(words, at[asked])]
+            place = _place(words.codes)
+            asked = np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+            _, at, local = np.unique(words.codes[asked], return_index=True, return_inverse=True)
+            width = max(len(at), 1)
+            found = np.unique(words.text_of_word()[asked] * width + local)
+            row = pa.array(found // width)
+            chunk = _strings(words, asked[at[found % width]])
+            columns = [batch.column("lang").take(row), batch.column("doc").take(row), chunk]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "doc", "chunk"])
 
     return find
 
 
 def _bit_map(chunks: DataFrame) -> np.ndarray:
-    """Bits of the codes of all chunks; the map has 2 ** MAP_BITS bits whatever their number."""
-    place = F.col("code").bitwiseAND(F.lit((1 << MAP_BITS) - 1)) + 1
-    rows = chunks.groupBy(F.bitmap_bucket_number(place).alias("row")).agg(
+    """Bits of all chunks' codes; the map has 2 ** MAP_BITS bits whatever their number."""
+    place = F.col("place") + 1
+    rows = chunks.select("chunk").mapInArrow(_places, "place bigint").groupBy(F.bitmap_bucket_number(place).alias("row")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
     bits = np.zeros((1 << MAP_BITS) // 8, np.uint8)
@@ -123,22 +123,25 @@ def _bit_map(chunks: DataFrame) -> np.ndarray:
     return bits
 
 
-def _kept_terms(docs: DataFrame, chunks: DataFrame, terms: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, term) of the terms that stand in at least `min_docs` documents of the language."""
-    by_lang = chunks.groupBy("lang", "chunk", "code").agg(F.sum("docs").alias("docs"))
-    spread = by_lang.join(terms, "chunk").withColumn("term", F.explode(F.array_distinct("terms"))).drop("terms")
+def _kept_chunks(docs: DataFrame, chunks: DataFrame, terms: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, chunk, kept) of the chunks with terms that stand in at least `min_docs` documents of the language.
+
+    A chunk that holds a kept term twice is there twice.
+    """
+    by_lang = chunks.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
+    spread = by_lang.join(terms, "chunk").select("lang", "chunk", "docs", F.explode("terms").alias("term"))
+    spread = written(spread, "term_chunks")
     bounds = spread.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
     bounds = written(bounds.where(F.col("most") >= min_docs), "term_bounds")
     unclear = bounds.where(F.col("least") < min_docs).select("lang", "term")
-    asked = written(spread.join(unclear, ["lang", "term"]).select("lang", "term", "chunk", "code"), "asked_chunks")
+    asked = written(spread.join(unclear, ["lang", "term"]).select("lang", "term", "chunk").distinct(), "asked_chunks")
     shared = docs.sparkSession.sparkContext.broadcast(_bit_map(asked))
     numbered = docs.select("lang", "text", F.monotonically_increasing_id().alias("doc"))
     found = numbered.mapInArrow(_chunks_in_map(shared), "lang string, doc bigint, chunk string")
-    counted = found.join(asked.drop("code"), ["lang", "chunk"]).groupBy("lang", "term").agg(
-        F.count_distinct("doc").alias("docs")
-    )
+    counted = found.join(asked, ["lang", "chunk"]).groupBy("lang", "term").agg(F.count_distinct("doc").alias("docs"))
     sure = bounds.where(F.col("least") >= min_docs).select("lang", "term")
-    return sure.union(counted.where(F.col("docs") >= min_docs).select("lang", "term"))
+    kept = sure.union(counted.where(F.col("docs") >= min_docs).select("lang", "term"))
+    return written(spread.join(kept, ["lang", "term"]).select("lang", "chunk", "term"), "kept_chunks")
 
 
 def _share(count: str, total: str, n_terms: str) -> Column:
@@ -204,18 +207,16 @@ def audit_sources(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERM
     """
     slim = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     counted = slim.mapInArrow(_count_chunks, _CHUNKS)
-    chunks = counted.groupBy("lang", "source", "chunk", "code").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    chunks = counted.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     chunks = written(chunks, "chunk_counts")
     found = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(TERM), F.lit(0))
     terms = chunks.select("chunk").distinct().select("chunk", found.alias("terms")).where(F.size("terms") > 0)
-    terms = written(terms, "chunk_terms")
 
-    kept = written(_kept_terms(slim, chunks, terms, min_docs), "kept_terms")
-    counts = chunks.join(terms, "chunk").select("lang", "source", F.explode("terms").alias("term"), "n")
-    counts = counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"])
+    kept = _kept_chunks(slim, chunks, terms, min_docs)
+    counts = chunks.join(kept, ["lang", "chunk"]).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
     counts = written(counts, "term_counts")
 
-    n_terms = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"))
+    n_terms = kept.groupBy("lang").agg(F.count_distinct("term").alias("n_terms"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = slim.select("lang", "source").distinct().join(n_terms, "lang", "left").join(totals, ["lang", "source"], "left")
     groups = written(groups.fillna(0, ["n_terms", "total"]).withColumn("zero", _share("0", "total", "n_terms")), "groups")
