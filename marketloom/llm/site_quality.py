@@ -102,15 +102,19 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int
 
 
 def train(features: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:
-    """Classifier weights from at most `rows` labelled documents, the first by hash of id.
+    """Classifier weights from about `rows` labelled documents, chosen by a hash of id.
 
-    Labels other than 0 and 1 are left out. Without both kinds of label the
+    Labels other than 0 and 1 are left out; of contradictory labels, and of rows
+    that share an id, the greatest value counts. Without both kinds of label the
     classifier says the share of good ones everywhere (one half without labels).
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("y"))
     known = known.where("y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
-    sample = features.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(rows)
+    share = min(1.0, rows / max(known.count(), 1))
+    some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = features.join(some, "doc_id").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in [*FEATURES, "y"]])
     data = np.array([tuple(r) for r in sample.select(*FEATURES, "y").collect()], float).reshape(-1, len(FEATURES) + 1)
+    data = data[np.lexsort(data.T)]
     if len(set(data[:, -1])) < 2:
         share = np.clip(data[:, -1].mean() if len(data) else 0.5, 0.05, 0.95)
         return np.append(np.zeros(len(FEATURES)), np.log(share / (1 - share)))
