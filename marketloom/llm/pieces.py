@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm.words import column_bytes, mix, power_tables, ranges, slices, worker_cache
@@ -360,27 +360,30 @@ def encode(docs: DataFrame, model: str = MODEL, n_best: int = N_BEST) -> DataFra
     return slim.mapInArrow(_encode(spark.sparkContext.broadcast(pieces), model, n_best), _ENCODED)
 
 
-def _decode(shared, key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decode(shared, key: str) -> Callable[[pa.Array], pa.Array]:
+    def decode(lists: pa.Array) -> pa.Array:
         vocabulary = _vocabulary(shared, key)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                lists = part.column("ids")
-                ids = np.asarray(lists.flatten())
-                ends = np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in lists])])
-                sizes = vocabulary.id_sizes[ids]
-                data = vocabulary.id_bytes[ranges(vocabulary.id_starts[ids], sizes)]
-                bounds = np.concatenate([[0], np.cumsum(sizes)])[ends]
-                # The first byte is the space that encoding put before the text.
-                texts = [data[a + 1 : b].tobytes() if b > a else b"" for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                decoded = pa.array(texts, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), decoded], ["doc_id", "text"])
+        done = []
+        for at in range(0, len(lists), 256):
+            part = lists.slice(at, 256)
+            ids = np.asarray(part.flatten())
+            ends = np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in part])])
+            sizes = vocabulary.id_sizes[ids]
+            data = vocabulary.id_bytes[ranges(vocabulary.id_starts[ids], sizes)]
+            bounds = np.concatenate([[0], np.cumsum(sizes)])[ends]
+            # The first byte is the space that encoding put before the text.
+            done += [data[a + 1 : b].tobytes() if b > a else b"" for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return pa.array(done, pa.binary()).cast(pa.string())
 
     return decode
 
 
+def decoded(spark: SparkSession, ids: Column, model: str = MODEL) -> Column:
+    """The exact text of a column of ids that `encode` returned; NULL ids give an empty text."""
+    shared = spark.sparkContext.broadcast(read_model(model))
+    return F.arrow_udf(_decode(shared, model), "string")(ids)
+
+
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
-    """doc_id and the exact text of every row of ids that `encode` returned; NULL ids give an empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(read_model(model))
-    return encoded.select("doc_id", "ids").mapInArrow(_decode(shared, model), "doc_id bigint, text string")
+    """doc_id and the exact text of every row that `encode` returned, row by row; an empty table gives an empty one."""
+    return encoded.select("doc_id", decoded(encoded.sparkSession, F.col("ids"), model).alias("text"))

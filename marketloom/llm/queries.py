@@ -73,9 +73,8 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of every document, and what decoding them gives back."""
-    encoded = written(pieces.encode(_table(spark, sf_dir, "documents")), "encoded")
-    decoded = pieces.decode(encoded).select("doc_id", F.sha2("text", 256).alias("decoded_sha256"))
-    return encoded.join(decoded, "doc_id")
+    encoded = pieces.encode(_table(spark, sf_dir, "documents"))
+    return encoded.withColumn("decoded_sha256", F.sha2(pieces.decoded(spark, F.col("ids")), 256))
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
