@@ -288,7 +288,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
         for row in rows.groupBy("term").agg(F.sum("n").alias("n")).collect():  # within the block's words
             counts[row["term"]] = row["n"]
         rank_by_rarity(asked, counts)
-        parts.append(index.mapInArrow(_match(spark.sparkContext.broadcast(vars(asked))), _HITS))
+        shared.unpersist()
+        shared = spark.sparkContext.broadcast(vars(asked))
+        parts.append(written(index.mapInArrow(_match(shared), _HITS), "hits"))
+        shared.unpersist()  # one block's tables are out at a time
     found = reduce(DataFrame.unionByName, parts)
     if len(parts) > 1:
         merged = [F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends")]
