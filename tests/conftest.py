@@ -9,25 +9,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from marketloom.schema import PANEL_COLUMNS, PANEL_SCHEMA  # noqa: E402
+from panel_defaults import DEFAULTS  # noqa: E402
 
 DAY0 = dt.date(2024, 1, 1)
-DEFAULTS = {
-    "region": "North",
-    "region_id": 1,
-    "commodity": "rice",
-    "price": 100.0,
-    "temp_avg_c": 25.0,
-    "rain_mm": 3.0,
-    "humidity_avg_pct": 80.0,
-    "weekday_idx": 0,
-    "month": 1,
-    "is_weekend": 0,
-    "is_holiday": 0,
-    "days_to_eid": 10,
-    "days_to_christmas": 20,
-}
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from conftest import DEFAULTS
+from panel_defaults import DEFAULTS
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
