@@ -29,6 +29,37 @@ def days_to_christmas(day) -> Column:
     )
 
 
+# Tabular lunar calendar, fixed values: 30 years have 10,631 days, and 1 Shawwal
+# (the first day of the tenth month, the feast) of year y is this many days after
+# 1970-01-01: _FEAST_DAY + 354 * (y - 1) + (3 + 11 * y) div 30.
+_CYCLE_DAYS, _CYCLE_YEARS = 10_631, 30
+_FIRST_DAY = -492_148
+_FEAST_DAY = _FIRST_DAY + 266
+
+
+def _feast_day(year: Column) -> Column:
+    return _FEAST_DAY + 354 * (year - 1) + F.floor((3 + 11 * year) / 30)
+
+
+def _lunar_year(day) -> Column:
+    since = F.unix_date(_col(day)) - _FIRST_DAY
+    return F.floor((_CYCLE_YEARS * since + 10_646) / _CYCLE_DAYS)
+
+
+def feast_date(day) -> Column:
+    """The movable feast of the lunar year of a day, by the tabular calendar.
+
+    Sighting of the moon may move the feast itself by a day or two.
+    """
+    return F.date_from_unix_date(_feast_day(_lunar_year(day)).cast("int"))
+
+
+def days_to_feast(day) -> Column:
+    """Days to the nearest movable feast, before or after, without a table of feasts."""
+    year = _lunar_year(day)
+    return F.least(*[F.abs(F.unix_date(_col(day)) - _feast_day(year + s)) for s in (-1, 0, 1)]).cast("int")
+
+
 def build_calendar(dates: DataFrame, feasts: DataFrame, holidays: DataFrame) -> DataFrame:
     """One row per distinct `obs_date` with all calendar columns.
 

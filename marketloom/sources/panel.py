@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.operators.integrate import valid_rows
-from marketloom.schema import PANEL_COLUMNS, PANEL_SCHEMA, SOURCE_HEADER
+from marketloom.schema import ENTITY, PANEL_COLUMNS, PANEL_SCHEMA, PRICE, SOURCE_HEADER
+from marketloom.scratch import scratch_folder
 
 SOURCE_SCHEMA = T.StructType(
     [
@@ -74,6 +76,38 @@ def write_history(panel: DataFrame, path: str, mode: str = "error") -> None:
     ).parquet(path)
 
 
+def correct_history(corrections: DataFrame, path: str) -> None:
+    """Put corrected rows in place of the stored rows of their date, region and commodity.
+
+    Rows without a stored counterpart are added; of corrections that share a key
+    the one with the greatest price counts, then by the other columns. Only the
+    months of the corrections are read and written anew. New months are made
+    aside first and replace the old folders at the end. NULL is a key like any
+    other, but a row without a date belongs to no month and is refused.
+    """
+    spark = corrections.sparkSession
+    keys = ["obs_date", *ENTITY]
+    row = F.struct(PRICE, *[c for c in PANEL_COLUMNS if c not in (*keys, PRICE)])
+    new = corrections.groupBy(*keys).agg(F.max(row).alias("r")).select(*keys, "r.*").select(*PANEL_COLUMNS)
+    with scratch_folder(spark, "corrections") as keep:
+        new = keep(new, "rows")
+        months = new.select(F.date_trunc("month", "obs_date").cast("date").alias("m")).distinct().collect()
+        if any(r["m"] is None for r in months):
+            raise ValueError("a correction without a date belongs to no month")
+        if not months:
+            return
+        first, last = min(r["m"] for r in months), max(r["m"] for r in months)
+        wanted = F.date_trunc("month", "obs_date").cast("date").isin([r["m"] for r in months])
+        end = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+        old = read_history(spark, path, str(first), str(end)).where(wanted)
+        same = [old[c].eqNullSafe(new[c]) for c in keys]
+        months_anew = keep(old.join(new, same, "left_anti").unionByName(new), "months")
+        spread = months_anew.withColumns({"year": F.year("obs_date"), "file_month": F.month("obs_date")})
+        spread.hint("rebalance", "year", "file_month").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("year", "file_month").parquet(path)
+
+
 def read_history(
     spark: SparkSession, path: str, first: str | None = None, last: str | None = None
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from marketloom.operators.forest import Forest
 from marketloom.schema import ENTITY, PANEL_COLUMNS, PANEL_SCHEMA, PRICE
 from marketloom.scratch import remove
 from marketloom.streaming.feed import closed_days
+from marketloom.streaming.models import ModelStore, stored
 
 
 class AlertWriter:
@@ -24,12 +25,25 @@ class AlertWriter:
 
     A day's rows that repeat a key are averaged into one (`closed_days`), where
     the batch report keeps each of them.
+
+    With a `models` store every batch takes the newest published model when it
+    begins, and `forest` and `threshold` only serve until there is one. Which
+    version a batch took is kept in `root/models/batch_id=N` before it is used, so
+    a batch that is run again takes the same one.
     """
 
-    def __init__(self, root: str, forest: Forest, threshold: float, start: DataFrame | None = None):
-        if forest is None:
+    def __init__(
+        self,
+        root: str,
+        forest: Forest | None,
+        threshold: float | None,
+        start: DataFrame | None = None,
+        models: ModelStore | None = None,
+    ):
+        if forest is None and models is None:
             raise ValueError("alerts need a fitted forest; an empty panel has none")
         self.root = root.rstrip("/")
+        self.models = models
         self.forest = forest
         self.threshold = threshold
         self.start = start
@@ -44,14 +58,30 @@ class AlertWriter:
             if before is not None:
                 known = days.unionByName(before if first is None else before.where(F.col("obs_date") < first))
             if first is not None:
-                scored = self.forest.score(anomaly_features(known)).where(F.col("obs_date") >= first)
-                alerts = anomalous_rows(flag_anomalies(scored, self.threshold)).drop("is_anom")
+                forest, threshold = self._model(spark, batch_id)
+                scored = forest.score(anomaly_features(known)).where(F.col("obs_date") >= first)
+                alerts = anomalous_rows(flag_anomalies(scored, threshold)).drop("is_anom")
                 alerts.write.mode("overwrite").parquet(f"{self.root}/alerts/batch_id={batch_id}")
             newest_rows(known).write.mode("overwrite").parquet(self._state(batch_id))
             remove(spark, self._state(batch_id - 2))
         finally:
             days.unpersist()
 
+    def _model(self, spark: SparkSession, batch_id: int) -> tuple[Forest, float | None]:
+        """The model of a batch: the one it took before, else the newest one."""
+        if self.models is None:
+            return self.forest, self.threshold
+        path = f"{self.root}/models/batch_id={batch_id}"
+        taken = stored(spark, path)
+        version = self.models.newest(spark) if taken is None else taken.first()["version"]
+        if taken is None:
+            spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("overwrite").parquet(path)
+        if version is not None:
+            return self.models.load(spark, version)
+        if self.forest is None:
+            raise ValueError(f"no model has been published under {self.models.root}")
+        return self.forest, self.threshold
+
     def _state(self, batch_id: int) -> str:
         return f"{self.root}/latest/batch_id={batch_id}"
 
@@ -75,15 +105,16 @@ def newest_rows(panel: DataFrame) -> DataFrame:
 
 def start_alerts(
     rows: DataFrame,
-    forest: Forest,
-    threshold: float,
+    forest: Forest | None,
+    threshold: float | None,
     root: str,
     checkpoint: str,
     start: DataFrame | None = None,
+    models: ModelStore | None = None,
     **trigger,
 ):
     """Alert query over an ingested panel stream; by default over what is there now."""
-    writer = AlertWriter(root, forest, threshold, start)
+    writer = AlertWriter(root, forest, threshold, start, models)
     return (
         closed_days(rows)
         .writeStream.outputMode("append")

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from marketloom.operators.integrate import valid_rows
 from marketloom.schema import CALENDAR, ENTITY, PANEL_SCHEMA, PRICE
 from marketloom.scratch import scratch_path
+from marketloom.streaming.log_source import LogSource
 
 
 def read_feed(
@@ -26,13 +27,18 @@ def read_feed(
 ) -> DataFrame:
     """Records of a feed under a fixed schema.
 
-    Files (`parquet`, `csv`, `json`) come from `path`; with `fmt="kafka"` each
-    message value is a JSON record and `options` name servers and topic.
+    Files (`parquet`, `csv`, `json`) come from `path`. With `fmt="kafka"` each
+    message value is a JSON record and `options` name servers and topic; with
+    `fmt="message_log"` the messages are lines of the files in the folder `path`
+    (see `log_source`).
     """
+    if fmt == LogSource.name():
+        spark.dataSource.register(LogSource)
     reader = spark.readStream.format(fmt).options(**options)
-    if fmt == "kafka":
+    if fmt in ("kafka", LogSource.name()):
+        messages = reader.load() if path is None else reader.load(path)
         record = F.from_json(F.col("value").cast("string"), schema)
-        return reader.load().select(record.alias("record")).select("record.*")
+        return messages.select(record.alias("record")).select("record.*")
     return reader.schema(schema).load(path)
 
 
@@ -60,12 +66,19 @@ def ingest(rows: DataFrame, delay: str = "1 day") -> DataFrame:
     return valid_rows(timed).withWatermark("ts", delay)
 
 
-def drop_replays(rows: DataFrame, keys: Sequence[str] = ("obs_date", *ENTITY)) -> DataFrame:
+def drop_replays(
+    rows: DataFrame, keys: Sequence[str] = ("obs_date", *ENTITY), parts: int = 1
+) -> DataFrame:
     """First record of each key within the watermark delay.
 
-    Records that repeat one key many times share a task here; see
-    `combine_replays` for feeds in which they are a large part.
+    With `parts` it goes in two stages: records first meet those of their key
+    from the same source task modulo `parts`, and what is left meets by key
+    alone. A key that fills the feed is then compared in `parts` tasks, and at
+    most `parts` of its records reach the task of the key.
     """
+    if parts > 1:
+        salted = rows.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(parts)))
+        rows = salted.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part")
     return rows.dropDuplicatesWithinWatermark(list(keys))
 
 
