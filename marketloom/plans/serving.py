@@ -30,7 +30,7 @@ from marketloom.plans.panels import panel, table
 from marketloom.schema import ANOMALY_FEATURES, CALENDAR, ENTITY, PANEL_SCHEMA, PRICE, WEATHER
 from marketloom.scratch import scratch_path
 from marketloom.sources import panel as files
-from marketloom.streaming import alerts, feed
+from marketloom.streaming import alerts, feed, keyed
 from marketloom.streaming.models import ModelStore
 
 SAMPLE_ROWS = 256
@@ -177,6 +177,16 @@ def published_alerts(spark, sf_dir):
     return _closed_alerts(spark, sf_dir, None, models)
 
 
+@query("st6_keyed_alerts", over("event_calendar", _CLOSED_PANEL + _alerts_sql(TREES)))
+def keyed_alerts(spark, sf_dir):
+    """The same alerts with the last prices in the state store."""
+    rows = feed.with_calendar(feed.ingest(event_feed(spark, sf_dir)), event_calendar(spark, sf_dir))
+    root, progress = scratch_path(spark, "keyed-alerts"), scratch_path(spark, "keyed-progress")
+    keyed.start_keyed_alerts(spark, rows, literal_forest(), THRESHOLD, root, progress).awaitTermination()
+    shown = ["price", "deviation_pct", "delta_pct", "score"]
+    return rounded(alerts.read_alerts(spark, root).select("obs_date", *ENTITY, *shown), *shown)
+
+
 _EVENT_ROWS = """SELECT cast(ts AS date) AS obs_date, 'R' || (user_id % 15) AS region,
     cast(user_id % 15 AS int) AS region_id, event_type AS commodity, value AS price FROM events"""
 

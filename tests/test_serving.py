@@ -12,7 +12,7 @@ from marketloom.operators import sketch
 from marketloom.plans.serving import THRESHOLD, _SECOND, literal_forest
 from marketloom.schema import PANEL_COLUMNS, PANEL_SCHEMA
 from marketloom.sources import panel as files
-from marketloom.streaming import alerts, feed, log_source
+from marketloom.streaming import alerts, feed, keyed, log_source
 from marketloom.streaming.models import ModelStore
 
 
@@ -79,6 +79,44 @@ def test_a_stored_model_is_the_published_one(spark, tmp_path):
     assert got.astype(str).equals(want.astype(str))
 
 
+# Keyed state
+
+
+def test_keyed_alerts_are_those_of_the_state_table(spark, panel, tmp_path):
+    path = str(tmp_path / "feed")
+
+    def stage(days, regions):
+        found = panel.where(F.col("obs_date").isin([day(d) for d in days]) & F.col("region").isin(list(regions)))
+        found.coalesce(1).write.mode("append").parquet(path)
+
+    shown = ["obs_date", "region", "price", "deviation_pct", "delta_pct", "score"]
+    start = panel.where(F.col("obs_date") <= day(3))
+
+    def run(kind):
+        rows = feed.ingest(feed.read_feed(spark, path, maxFilesPerTrigger=1))
+        root, progress = str(tmp_path / kind), str(tmp_path / f"{kind}-progress")
+        if kind == "keyed":
+            query = keyed.start_keyed_alerts(spark, rows, literal_forest(), 0.0, root, progress, start)
+        else:
+            query = alerts.start_alerts(rows, literal_forest(), 0.0, root, progress, start)
+        query.awaitTermination()
+        got = alerts.read_alerts(spark, root).select(*shown)
+        return sorted(map(tuple, got.collect())), query.recentProgress
+
+    stage([4, 5, 6], "ABCD")
+    stage([7, 8], "AB")
+    stage([9, 10, 11], "ABC")
+    first, _ = run("keyed")
+    assert first == run("table")[0] and len(first) > 10
+    stage([12, 13], "A")
+    stage([14, 15], "B")
+    second, progress = run("keyed")
+    assert second == run("table")[0] and len(second) > len(first)
+    # The store is asked for the entities of a batch only.
+    touched = [op["numRowsUpdated"] for p in progress for op in p["stateOperators"] if "transformWithState" in op["operatorName"]]
+    assert touched and max(touched) <= 3
+
+
 # Message log
 
 
