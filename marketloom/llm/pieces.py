@@ -32,6 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
+# Text whose lattices are built at one time: some 150 MB.
+_SLICE = 1 << 19
 # Score of a byte of a character without a piece, below the least piece.
 BYTE_COST = 2.0
 _ENCODED = (
@@ -105,7 +107,7 @@ class _Vocabulary:
 
 
 def _vocabulary(shared, key: str) -> _Vocabulary:
-    cache = worker_cache()
+    cache = worker_cache("pieces")
     if cache.get("pieces_key") != key:
         cache["pieces"], cache["pieces_key"] = _Vocabulary(shared.value), key
     return cache["pieces"]
@@ -331,7 +333,7 @@ def _encode(shared, key: str, n_best: int) -> Callable[[Iterator[pa.RecordBatch]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared, key)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=_SLICE):
             ends, ids, scores, others = encode_column(batch.column("text"), vocabulary, n_best)
             lists = pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(

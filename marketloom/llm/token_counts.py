@@ -35,7 +35,7 @@ _LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u202
 
 def _encoding(vocabulary: bytes, pattern: str) -> tiktoken.Encoding:
     """The tokenizer of a vocabulary file, made once per Python process."""
-    cache = worker_cache()
+    cache = worker_cache("token_counts")
     name = f"tiktoken-{hashlib.sha256(vocabulary + pattern.encode()).hexdigest()}"
     if name not in cache:
         pairs = (line.split() for line in vocabulary.splitlines() if line)

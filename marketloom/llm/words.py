@@ -6,6 +6,7 @@ words, so cutting bytes cuts the same words as cutting code points.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Text handled at one time, so that temporaries stay at some tens of MB.
 PIECE_BYTES = 1 << 20
 
+_SHARED = "words"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -37,15 +39,33 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
 
 
-def worker_cache() -> dict:
-    """What one Python process keeps between tasks; never sent with a task."""
+def worker_cache(owner: str) -> dict:
+    """What one Python process keeps between tasks for one operator; never sent with a task.
+
+    An operator that starts to use its cache drops those of all others, as a
+    worker process outlives the stage that filled it.
+    """
     name = "_marketloom_worker_cache"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("owners", {})
+    if owner not in kept:
+        for other in [o for o in kept if o != _SHARED and owner != _SHARED]:
+            del kept[other]
+        kept[owner] = {}
+    return kept[owner]
+
+
+def release_memory() -> None:
+    """Give freed memory back, so that an idle worker process stays small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
 
 
 def power_tables(n: int) -> list[np.ndarray]:
     """Powers 0 to n-1 of an odd number, and of its inverse, modulo 2^64."""
-    cache = worker_cache()
+    cache = worker_cache(_SHARED)
     if len(cache.get("powers", [()])[0]) < n:
         tables = []
         for base in (_ODD, _INVERSE):
@@ -183,6 +203,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = P
             stop = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(at, stop - at)
             at = stop
+    release_memory()
 
 
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
