@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.words import ALPHANUMERIC, covered, find_words, ranges, slices
+from marketloom.llm.words import ALPHANUMERIC, covered, find_words, ranges, release_memory, slices
 from marketloom.scratch import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -130,6 +130,7 @@ def _count_terms(asked) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 total += np.where(at >= 0, np.diff(np.frombuffer(first.as_buffer(), np.int32), append=0)[at], 0)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["term", "n"])
+        release_memory()
 
     return count
 
@@ -207,6 +208,7 @@ def _match(asked) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     )
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()  # what an earlier stage left in this worker
         query = Lookups(**asked.value)
         for batch in batches:
             for i in range(batch.num_rows):
