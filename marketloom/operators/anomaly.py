@@ -7,13 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.numeric import pct_change, round_even, safe_int, to_number
 from marketloom.operators.quantile import exact_quantile
-from marketloom.operators.skew import (
-    attach,
-    collapse_copies,
-    content_hash,
-    copies_of,
-    expand_copies,
-)
+from marketloom.operators.skew import attach, collapse_copies, content_hash, copies_of, expand_copies
 from marketloom.schema import (
     ANOMALY_FEATURES,
     ANOMALY_RATE,
@@ -38,7 +32,8 @@ def with_province_mean(panel: DataFrame, rows: DataFrame | None = None) -> DataF
 
     Joining the means back leaves no task with all rows of one commodity and
     date; adaptive execution broadcasts them if they turn out small and splits
-    a partition with too many rows if not.
+    a partition with too many rows if not. For that both sides of the join need
+    a shuffle of their own.
     """
     return attach(panel if rows is None else rows, province_means(panel), SERIES_DAY)
 
@@ -57,32 +52,37 @@ def with_previous_price(panel: DataFrame, compact: bool = False) -> DataFrame:
     Equal rows are collapsed first and a day is cut into parts by content, so
     the work is alike for every entity and no task needs a whole one: the first
     row of a part takes the last price of the part before it, and there are at
-    most _DAY_PARTS of those a day to put in order. Of equal rows only the first
-    follows another row, the others follow a copy of themselves.
+    most _DAY_PARTS of those a day to put in order. The last prices are combined
+    on the map side, so the panel itself travels once for its copies and once
+    for its parts. Of equal rows only the first follows another row, the others
+    follow a copy of themselves.
 
     With `compact` equal rows stay one row, and a column `copies` says how many
     rows it stands for. Which rows those are depends on the panel's contents
     alone.
     """
-    part = [*ENTITY, "obs_date", "_part"]
-    order = Window.partitionBy(*part).orderBy("_tie")
-    rows = _with_tie(collapse_copies(panel)).withColumns(
-        {"_inside": F.lag(PRICE).over(order), "_is_last": F.lead("_tie").over(order).isNull()}
+    part = F.struct(*ENTITY, "obs_date", "_part").alias("_key")
+    order = Window.partitionBy("_key").orderBy("_tie")
+    others = [c for c in panel.columns if c not in (*ENTITY, "obs_date")]
+    rows = (
+        _with_tie(collapse_copies(panel))
+        .select(part, *others, "copies", "_tie")
+        .withColumn("_inside", F.lag(PRICE).over(order))
     )
-    by_time = Window.partitionBy(*ENTITY).orderBy("obs_date", "_part")
-    ends = rows.where("_is_last").select(*part, F.col(PRICE).alias("_end"))
-    carried = ends.select(*part, F.lag("_end").over(by_time).alias("_carried"))
+    by_time = Window.partitionBy(*[f"_key.{c}" for c in ENTITY]).orderBy("_key.obs_date", "_key._part")
+    ends = _with_tie(panel).groupBy(part).agg(F.max_by(PRICE, "_tie").alias("_end"))
+    carried = ends.select("_key", F.lag("_end").over(by_time).alias("_carried"))
     before = F.coalesce("_inside", "_carried")
     first = F.struct(before.alias("price"), F.lit(1).cast("bigint").alias("n"))
     rest = F.struct(F.col(PRICE).alias("price"), (F.col("copies") - 1).alias("n"))
     alike = F.struct(F.col(PRICE).alias("price"), F.col("copies").alias("n"))
     follow = F.when(before.eqNullSafe(F.col(PRICE)), F.array(alike)).otherwise(F.array(first, rest))
     lagged = (
-        attach(rows, carried, part)
+        rows.join(carried, "_key")
         .withColumn("_follow", F.explode(follow))
         .where(F.col("_follow.n") > 0)
         .select(
-            *panel.columns,
+            *[c if c in others else f"_key.{c}" for c in panel.columns],
             F.col("_follow.n").alias("copies"),
             F.col("_follow.price").alias("previous_price"),
         )
