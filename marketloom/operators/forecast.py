@@ -7,6 +7,8 @@ get the moving average. Both end up in one table of predictions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,6 +48,7 @@ def ridge_predictions(
     test_ratio: float = TEST_RATIO,
     penalty: float = 1.0,
     purge: int = 0,
+    inputs: Sequence[str] = MODEL_INPUTS,
 ) -> DataFrame:
     """Back-test and forecast of each series, in one fit per series.
 
@@ -53,13 +56,14 @@ def ridge_predictions(
     target; rows of kind `forecast` carry the steps after the last date.
     Scaling is learned from the rows before the first test target. `purge`
     leaves out that many samples before it, whose targets reach into the test.
+    The first of `inputs` is what is forecast.
     Series are fitted side by side as far as `daily` is spread over tasks.
     """
 
     def fit_series(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("obs_date")
         dates = rows["obs_date"].to_numpy()
-        values = rows[MODEL_INPUTS].to_numpy(dtype="float64")
+        values = rows[list(inputs)].to_numpy(dtype="float64")
         n_train, actual, tested, ahead = backtest_and_forecast(
             values, days, horizon, test_ratio, penalty, purge
         )
@@ -87,8 +91,8 @@ def ridge_predictions(
         out.insert(0, "commodity", rows["commodity"].iloc[0])
         return out
 
-    inputs = fill_gaps(daily.select(*SERIES_DAY, *MODEL_INPUTS))
-    return inputs.groupBy("commodity").applyInPandas(fit_series, PREDICTIONS)
+    filled = fill_gaps(daily.select(*SERIES_DAY, *inputs), inputs)
+    return filled.groupBy("commodity").applyInPandas(fit_series, PREDICTIONS)
 
 
 def split_paths(daily: DataFrame) -> tuple[DataFrame, DataFrame]:

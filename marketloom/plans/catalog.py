@@ -1276,6 +1276,34 @@ def backtest_actuals(spark, sf_dir):
     return rounded(rows.select("commodity", "step", "origin_date", "actual"), "actual")
 
 
+@query(
+    "m03_ridge_of_one_day",
+    over(
+        "daily",
+        """, numbered AS (SELECT commodity, obs_date, price, row_number() OVER by_day - 1 AS i,
+            lead(price) OVER by_day AS next_price, lead(obs_date) OVER by_day AS next_date,
+            count(*) OVER (PARTITION BY commodity) AS n
+          FROM daily WINDOW by_day AS (PARTITION BY commodity ORDER BY obs_date)),
+        split AS (SELECT *, greatest(1, least(cast(floor((n - 1) * 0.8) AS bigint), n - 2)) AS n_train FROM numbered),
+        limits AS (SELECT commodity, min(price) AS low, coalesce(nullif(max(price) - min(price), 0), 1) AS span
+          FROM split WHERE i <= n_train GROUP BY 1),
+        scaled AS (SELECT *, (price - low) / span AS x, (next_price - low) / span AS y
+          FROM split JOIN limits USING (commodity)),
+        centres AS (SELECT commodity, avg(x) AS mx, avg(y) AS my FROM scaled WHERE i < n_train GROUP BY 1),
+        slopes AS (SELECT commodity, mx, my, sum((x - mx) * (y - my)) / (sum((x - mx) * (x - mx)) + 1) AS slope
+          FROM scaled JOIN centres USING (commodity) WHERE i < n_train GROUP BY ALL)
+        SELECT commodity, CASE WHEN i = n - 1 THEN 'forecast' ELSE 'test' END AS kind,
+          CASE WHEN i = n - 1 THEN obs_date ELSE next_date END AS origin_date,
+          round((my + slope * (x - mx)) * span + low, 3) AS prediction
+        FROM scaled JOIN slopes USING (commodity) WHERE i >= n_train""",
+    ),
+)
+def ridge_of_one_day(spark, sf_dir):
+    """The ridge fit from one day's price to the next, small enough for SQL to solve."""
+    rows = forecast.ridge_predictions(daily(spark, sf_dir), days=1, horizon=1, inputs=[PRICE])
+    return rounded(rows.select("commodity", "kind", "origin_date", "prediction"), "prediction", places=3)
+
+
 @query("m03_model_forecast")
 def model_forecast(spark, sf_dir):
     return forecast.model_forecast(predictions(spark, sf_dir))
@@ -1503,6 +1531,54 @@ def stream_calendar(spark, sf_dir):
     return feed.drained(rows.select("event_id", "commodity", *CALENDAR), "calendar")
 
 
+def event_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of daily weather by region, made of the events; the first region has none."""
+
+    def store():
+        region_id = (F.col("user_id") % 15).cast("int")
+        path = scratch_path(spark, "event-weather")
+        (
+            table(spark, sf_dir, "events")
+            .where(region_id > 0)
+            .groupBy(
+                F.col("ts").cast("date").alias("obs_date"),
+                F.concat(F.lit("R"), region_id.cast("string")).alias("region"),
+            )
+            .agg(
+                F.max("value").alias("temp_avg_c"),
+                F.count(F.lit(1)).cast("double").alias("rain_mm"),
+                F.min("value").alias("humidity_avg_pct"),
+            )
+            .write.parquet(path)
+        )
+        return path
+
+    path = once(spark, sf_dir, "event_weather", store)
+    fields = "obs_date date, region string, temp_avg_c double, rain_mm double, humidity_avg_pct double"
+    return feed.read_feed(spark, path, schema=T.StructType.fromDDL(fields))
+
+
+@query(
+    "st5_live_feeds",
+    over(
+        "event_calendar",
+        f""", rows AS (SELECT event_id, event_type AS commodity, 'R' || (user_id % 15) AS region, value AS price,
+            cast(ts AS date) AS obs_date FROM events WHERE value IS NOT NULL),
+        weather AS (SELECT obs_date, region, max(price) AS temp_avg_c, cast(count(*) AS double) AS rain_mm,
+            min(price) AS humidity_avg_pct FROM rows WHERE region <> 'R0' GROUP BY 1, 2)
+        SELECT event_id, commodity, r.region, price, r.obs_date, {", ".join(f"w.{c}" for c in WEATHER)}, {", ".join(CALENDAR)}
+        FROM rows r LEFT JOIN weather w ON w.obs_date = r.obs_date AND w.region = r.region
+          JOIN event_calendar c ON c.obs_date = r.obs_date
+        WHERE w.region IS NOT NULL OR r.obs_date + 1 <= least((SELECT max(obs_date) FROM rows), (SELECT max(obs_date) FROM weather))""",
+    ),
+)
+def stream_live_feeds(spark, sf_dir):
+    """Prices and weather as two streams; rows without weather come when their day is closed."""
+    rows = feed.join_live_feeds(event_feed(spark, sf_dir), event_weather(spark, sf_dir), event_calendar(spark, sf_dir))
+    columns = ["event_id", "commodity", "region", PRICE, "obs_date", *WEATHER, *CALENDAR]
+    return feed.drained(rows.select(*columns), "live-feeds")
+
+
 @query("st6_alerts")
 def stream_alerts(spark, sf_dir):
     found = once(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.operators.integrate import valid_rows
-from marketloom.schema import CALENDAR, ENTITY, PANEL_SCHEMA, PRICE
+from marketloom.schema import CALENDAR, ENTITY, PANEL_SCHEMA, PRICE, WEATHER
 from marketloom.scratch import scratch_path
 from marketloom.streaming.log_source import LogSource
 
@@ -138,6 +138,34 @@ def with_calendar(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     return rows.drop(*CALENDAR).join(calendar.select("obs_date", *CALENDAR), "obs_date", "left")
 
 
+def join_live_feeds(
+    prices: DataFrame, weather: DataFrame, calendar: DataFrame, delay: str = "1 day", parts: int = 8
+) -> DataFrame:
+    """Panel rows from a stream of prices and one of daily weather, with the calendar's columns.
+
+    Prices and weather may come in any order within `delay`: a price leaves once
+    its region and day have weather, or without weather when the day is closed
+    on both streams. Of repeated weather records the first one counts; a price
+    without a region has no weather. Give it feeds as `read_feed` returns them;
+    `ts` of the result is the day. A region and day is cut into `parts` by
+    commodity, as one region may fill the feed; weather goes to all parts.
+    """
+    priced = (
+        valid_rows(prices.drop("ts", *WEATHER))
+        .withColumns({"ts": clock_time("obs_date"), "_part": F.pmod(F.xxhash64("commodity"), F.lit(parts))})
+        .withWatermark("ts", delay)
+    )
+    daily = (
+        weather.select(clock_time("obs_date").alias("_ts"), F.col("region").alias("_region"), *WEATHER)
+        .withWatermark("_ts", delay)
+        .dropDuplicatesWithinWatermark(["_ts", "_region"])
+        .withColumn("_in_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1))))
+    )
+    same = (F.col("ts") == F.col("_ts")) & (F.col("region") == F.col("_region")) & (F.col("_part") == F.col("_in_part"))
+    joined = priced.join(daily, same, "left").drop("_ts", "_region", "_part", "_in_part")
+    return with_calendar(joined, calendar)
+
+
 def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Process what the feed holds now into Parquet files under `path`."""
     query = (

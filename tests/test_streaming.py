@@ -2,10 +2,11 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.operators import anomaly, series
 from marketloom.plans.batch import detect_anomalies
-from marketloom.schema import PANEL_COLUMNS, PANEL_SCHEMA
+from marketloom.schema import CALENDAR, PANEL_COLUMNS, PANEL_SCHEMA, WEATHER
 from marketloom.streaming import alerts, feed
 
 
@@ -132,3 +133,35 @@ def test_newest_rows(spark, panel):
     rows = alerts.newest_rows(panel)
     assert rows.schema.fieldNames() == PANEL_SCHEMA.fieldNames()
     assert {(r.region, r.obs_date.day) for r in rows.collect()} == {(r, 10) for r in "ABCD"}
+
+
+def test_prices_and_weather_as_two_streams(spark, make_panel, tmp_path):
+    """Late weather still finds its prices, repeats of it do not multiply them, and a day without any closes."""
+    price_path, weather_path, out, progress = (str(tmp_path / n) for n in ("prices", "weather", "out", "progress"))
+    columns = ["obs_date", "region", *WEATHER]
+    calendar = make_panel([{"day": d, "region": "A", "weekday_idx": d} for d in range(9)]).select("obs_date", *CALENDAR)
+
+    def run(prices, weather):
+        make_panel(prices).coalesce(1).write.mode("append").parquet(price_path)
+        make_panel(weather).select(columns).coalesce(1).write.mode("append").parquet(weather_path)
+        fields = [f for f in PANEL_SCHEMA.fields if f.name in columns]
+        feeds = feed.read_feed(spark, price_path), feed.read_feed(spark, weather_path, schema=T.StructType(fields))
+        joined = feed.join_live_feeds(*feeds, calendar)
+        feed.run_to_end(joined, out, progress)
+        rows = spark.read.schema(joined.schema).parquet(out).collect()
+        days = sorted(((r.obs_date.day - 1), r.region or "-", r.commodity, r.rain_mm, r.weekday_idx) for r in rows)
+        return days
+
+    first = run(
+        [{"day": 0, "region": r} for r in ("A", "B", None)] + [{"day": 0, "region": "A", "commodity": "oil"}],
+        [{"day": 0, "region": "A", "rain_mm": 5.0}] * 2,
+    )
+    assert first == [(0, "A", "oil", 5.0, 0), (0, "A", "rice", 5.0, 0)]
+    late = run(
+        [{"day": 1, "region": "A"}, {"day": 1, "region": "A", "price": None}],
+        [{"day": 0, "region": "B", "rain_mm": 7.0}, {"day": 0, "region": "A", "rain_mm": 9.0}],
+    )
+    assert late == [*first, (0, "B", "rice", 7.0, 0)]
+    closed = run([{"day": 4, "region": "A"}], [{"day": 4, "region": "A", "rain_mm": 1.0}])
+    gone = [(0, "-", "rice", None, 0), (1, "A", "rice", None, 1)]
+    assert sorted(closed, key=str) == sorted([*late, *gone, (4, "A", "rice", 1.0, 4)], key=str)
