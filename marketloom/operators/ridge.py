@@ -19,8 +19,8 @@ def _design(runs: np.ndarray) -> np.ndarray:
     return np.hstack([flat, np.ones((len(flat), 1))])
 
 
-def _fit(runs: np.ndarray, targets: np.ndarray, penalty: float) -> np.ndarray:
-    """Ridge weights; the constant term carries no penalty."""
+def normal_equations(runs: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of products of the inputs with each other and with the targets."""
     width = runs.shape[1] * runs.shape[2] + 1
     gram = np.zeros((width, width))
     moment = np.zeros((width, targets.shape[1]))
@@ -28,11 +28,16 @@ def _fit(runs: np.ndarray, targets: np.ndarray, penalty: float) -> np.ndarray:
         design = _design(runs[at : at + _BLOCK])
         gram += design.T @ design
         moment += design.T @ targets[at : at + _BLOCK]
-    gram[np.arange(width - 1), np.arange(width - 1)] += penalty
-    return np.linalg.solve(gram, moment)
+    return gram, moment
+
+
+def solve(gram: np.ndarray, moment: np.ndarray, penalty: float) -> np.ndarray:
+    """Ridge weights; the constant term carries no penalty."""
+    shrunk = np.append(np.full(len(gram) - 1, penalty), 0.0)
+    return np.linalg.solve(gram + np.diag(shrunk), moment)
 
 
-def _predict(runs: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def predict(runs: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.vstack(
         [_design(runs[at : at + _BLOCK]) @ weights for at in range(0, len(runs), _BLOCK)]
     )
@@ -56,7 +61,7 @@ def backtest_and_forecast(
     runs = view(scaled, days, axis=0).transpose(0, 2, 1)
     targets = view(scaled[days:, 0], horizon)
     n_fit = max(1, n_train - purge)
-    weights = _fit(runs[:n_fit], targets[:n_fit], penalty)
-    tested = _predict(runs[n_train:n_samples], weights) * span[0] + low[0]
-    ahead = _predict(runs[-1:], weights)[0] * span[0] + low[0]
+    weights = solve(*normal_equations(runs[:n_fit], targets[:n_fit]), penalty)
+    tested = predict(runs[n_train:n_samples], weights) * span[0] + low[0]
+    ahead = predict(runs[-1:], weights)[0] * span[0] + low[0]
     return n_train, view(values[days:, 0], horizon)[n_train:n_samples], tested, ahead

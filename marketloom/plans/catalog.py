@@ -20,6 +20,7 @@ from marketloom.operators import (
     report,
     series,
 )
+from marketloom.operators.block_ridge import ridge_in_blocks
 from marketloom.operators.skew import expand_copies
 from marketloom.plans import batch, panels
 from marketloom.plans.oracle import over
@@ -1276,34 +1277,41 @@ def backtest_actuals(spark, sf_dir):
     return rounded(rows.select("commodity", "step", "origin_date", "actual"), "actual")
 
 
-@query(
-    "m03_ridge_of_one_day",
-    over(
-        "daily",
-        """, numbered AS (SELECT commodity, obs_date, price, row_number() OVER by_day - 1 AS i,
-            lead(price) OVER by_day AS next_price, lead(obs_date) OVER by_day AS next_date,
-            count(*) OVER (PARTITION BY commodity) AS n
-          FROM daily WINDOW by_day AS (PARTITION BY commodity ORDER BY obs_date)),
-        split AS (SELECT *, greatest(1, least(cast(floor((n - 1) * 0.8) AS bigint), n - 2)) AS n_train FROM numbered),
-        limits AS (SELECT commodity, min(price) AS low, coalesce(nullif(max(price) - min(price), 0), 1) AS span
-          FROM split WHERE i <= n_train GROUP BY 1),
-        scaled AS (SELECT *, (price - low) / span AS x, (next_price - low) / span AS y
-          FROM split JOIN limits USING (commodity)),
-        centres AS (SELECT commodity, avg(x) AS mx, avg(y) AS my FROM scaled WHERE i < n_train GROUP BY 1),
-        slopes AS (SELECT commodity, mx, my, sum((x - mx) * (y - my)) / (sum((x - mx) * (x - mx)) + 1) AS slope
-          FROM scaled JOIN centres USING (commodity) WHERE i < n_train GROUP BY ALL)
-        SELECT commodity, CASE WHEN i = n - 1 THEN 'forecast' ELSE 'test' END AS kind,
-          CASE WHEN i = n - 1 THEN obs_date ELSE next_date END AS origin_date,
-          round((my + slope * (x - mx)) * span + low, 3) AS prediction
-        FROM scaled JOIN slopes USING (commodity) WHERE i >= n_train""",
-    ),
-)
+_RIDGE_OF_ONE_DAY = over(
+    "daily",
+    """, numbered AS (SELECT commodity, obs_date, price, row_number() OVER by_day - 1 AS i,
+        lead(price) OVER by_day AS next_price, lead(obs_date) OVER by_day AS next_date,
+        count(*) OVER (PARTITION BY commodity) AS n
+      FROM daily WINDOW by_day AS (PARTITION BY commodity ORDER BY obs_date)),
+    split AS (SELECT *, greatest(1, least(cast(floor((n - 1) * 0.8) AS bigint), n - 2)) AS n_train FROM numbered),
+    limits AS (SELECT commodity, min(price) AS low, coalesce(nullif(max(price) - min(price), 0), 1) AS span
+      FROM split WHERE i <= n_train GROUP BY 1),
+    scaled AS (SELECT *, (price - low) / span AS x, (next_price - low) / span AS y
+      FROM split JOIN limits USING (commodity)),
+    centres AS (SELECT commodity, avg(x) AS mx, avg(y) AS my FROM scaled WHERE i < n_train GROUP BY 1),
+    slopes AS (SELECT commodity, mx, my, sum((x - mx) * (y - my)) / (sum((x - mx) * (x - mx)) + 1) AS slope
+      FROM scaled JOIN centres USING (commodity) WHERE i < n_train GROUP BY ALL)
+    SELECT commodity, CASE WHEN i = n - 1 THEN 'forecast' ELSE 'test' END AS kind,
+      CASE WHEN i = n - 1 THEN obs_date ELSE next_date END AS origin_date,
+      round((my + slope * (x - mx)) * span + low, 3) AS prediction
+    FROM scaled JOIN slopes USING (commodity) WHERE i >= n_train""",
+)
+
+
+@query("m03_ridge_of_one_day", _RIDGE_OF_ONE_DAY)
 def ridge_of_one_day(spark, sf_dir):
     """The ridge fit from one day's price to the next, small enough for SQL to solve."""
     rows = forecast.ridge_predictions(daily(spark, sf_dir), days=1, horizon=1, inputs=[PRICE])
     return rounded(rows.select("commodity", "kind", "origin_date", "prediction"), "prediction", places=3)
 
 
+@query("m03_ridge_in_blocks", _RIDGE_OF_ONE_DAY)
+def ridge_of_blocks(spark, sf_dir):
+    """The same fit, its normal equations summed over blocks of 64 samples."""
+    rows = ridge_in_blocks(daily(spark, sf_dir), days=1, horizon=1, inputs=[PRICE], block=64)
+    return rounded(rows.select("commodity", "kind", "origin_date", "prediction"), "prediction", places=3)
+
+
 @query("m03_model_forecast")
 def model_forecast(spark, sf_dir):
     return forecast.model_forecast(predictions(spark, sf_dir))

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from marketloom.operators import forecast, report, series
+from marketloom.operators import block_ridge, forecast, report, series
 from marketloom.schema import MODEL_INPUTS
 
 
@@ -108,6 +108,18 @@ def test_partitioning_does_not_matter(daily, predictions):
     assert np.allclose(a.prediction, b.prediction)
 
 
+@pytest.mark.parametrize("block", [37, 40, 84, 4096])
+def test_blocks_give_the_same_fit(daily, predictions, block):
+    """However a series is cut, with the last run in the last block or alone in one."""
+    rows = daily.where("commodity <> 'short'")
+    key = ["commodity", "kind", "step", "origin_date"]
+    a = predictions.toPandas().sort_values(key).reset_index(drop=True)
+    b = block_ridge.ridge_in_blocks(rows, block=block).toPandas().sort_values(key).reset_index(drop=True)
+    assert a[key].equals(b[key])
+    assert np.allclose(a.prediction, b.prediction, rtol=1e-9, atol=0)
+    assert np.allclose(a.actual, b.actual, rtol=1e-12, atol=0, equal_nan=True)
+
+
 def test_purge_leaves_out_samples(daily, predictions):
     purged = forecast.ridge_predictions(daily.where("commodity = 'rice'"), purge=6)
     a = forecast.backtest(purged).orderBy("origin_date", "step").toPandas()
