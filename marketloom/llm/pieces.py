@@ -2,8 +2,8 @@
 
 A text is a lattice whose edges are the pieces of a public model. Pieces never
 go on from a word into the next run of spaces, so the lattice of a text is a
-chain of small ones, one per word. Distinct words of a batch are handled at
-once: a forward Viterbi pass gives every place its best score from the start of
+chain of small ones, one per word. Distinct words of a batch that the worker
+does not know yet are handled at once: a forward Viterbi pass gives every place its best score from the start of
 the word. The N best segmentations of a word come from an A* search backward
 from its end, for which the forward scores are exact heuristics, so it expands
 nothing in vain. The N best of the whole text combine those of the few words
@@ -32,8 +32,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
-# Text whose lattices are built at one time: some 150 MB.
-_SLICE = 1 << 19
+# Text that is cut into words at one time.
+_SLICE = 1 << 20
+# Bytes of new words whose lattices are built at one time: some 150 MB.
+_LATTICE = 1 << 18
+# Words, and pieces of words, that a worker remembers at most.
+_KNOWN_WORDS, _KNOWN_PIECES, _KNOWN_RANKED = 1 << 18, 1 << 21, 1 << 12
+# Bytes of the longest word whose best segmentations are remembered.
+_SHORT = 64
+# Leading bits of a code that are looked up before the code itself.
+_HEAD_BITS = 18
 # Score of a byte of a character without a piece, below the least piece.
 BYTE_COST = 2.0
 _ENCODED = (
@@ -79,6 +87,10 @@ def read_model(path: str) -> dict:
     }
 
 
+def _head(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(64 - _HEAD_BITS)).astype(np.int64)
+
+
 class _Vocabulary:
     """Pieces by byte length, as sorted hashes."""
 
@@ -94,7 +106,9 @@ class _Vocabulary:
             with np.errstate(over="ignore"):
                 codes = (total[at + size] - total[at]) * inverse[at]
             order = np.argsort(codes)
-            self.by_size.append((int(size), codes[order], model["ids"][own][order], model["scores"][own][order]))
+            heads = np.zeros(1 << _HEAD_BITS, bool)
+            heads[_head(codes)] = True
+            self.by_size.append((int(size), heads, codes[order], model["ids"][own][order], model["scores"][own][order]))
         # For decoding: the bytes of every id.
         texts = [b""] * model["size"]
         for i, text in zip(model["ids"], model["texts"], strict=True):
@@ -104,6 +118,8 @@ class _Vocabulary:
         self.id_sizes = np.array([len(t) for t in texts])
         self.id_starts = np.concatenate([[0], np.cumsum(self.id_sizes)[:-1]])
         self.id_bytes = np.frombuffer(b"".join(texts), np.uint8)
+        self.known = _Known.nothing()
+        self.ranked: dict[tuple[int, int], list[tuple[float, list[int]]]] = {}
 
 
 def _vocabulary(shared, key: str) -> _Vocabulary:
@@ -159,10 +175,12 @@ class _Lattice:
         width = np.where(data < 0x80, 1, np.where(data < 0xE0, 2, np.where(data < 0xF0, 3, 4)))
         single = np.zeros(n, bool)
         found = []
-        for size, codes, ids, scores in vocabulary.by_size:
+        for size, heads, codes, ids, scores in vocabulary.by_size:
             at = np.flatnonzero(lead & (left >= size))
             with np.errstate(over="ignore"):
                 asked = (total[at + size] - total[at]) * inverse[at]
+            likely = heads[_head(asked)]
+            at, asked = at[likely], asked[likely]
             place = np.minimum(np.searchsorted(codes, asked), len(codes) - 1)
             hit = codes[place] == asked
             at, place = at[hit], place[hit]
@@ -172,7 +190,8 @@ class _Lattice:
         found.append((at, width[at], np.full(len(at), -1), vocabulary.fallback * width[at]))
         begin, size, self.ids, self.scores = (np.concatenate(x) for x in zip(*found, strict=True))
         # By end and then longest first: the first of equal scores is the longest piece.
-        order = np.lexsort((begin, begin + size))
+        # Each size is a rising run already, which a stable sort makes use of.
+        order = np.argsort((begin + size) * (int(size.max(initial=0)) + 1) - size, kind="stable")
         begin, size = begin[order], size[order]
         self.ids, self.scores = self.ids[order], self.scores[order]
         self.word = word[begin]
@@ -206,7 +225,6 @@ class _Lattice:
         base = np.cumsum(np.where(self.whole & np.isfinite(ahead), ahead, 0.0))
         sizes = self.leaf - self.root + 1
         self.forward = np.where(self.whole, base, base[opens] + ahead) - np.repeat(base[self.root], sizes)
-        self.best = self.forward[self.leaf]
         # Best edge into each node: the first in order, which is the longest.
         into = np.full(self.n_nodes, -1)
         best = np.flatnonzero(so_far == ahead[self.end])[::-1]
@@ -219,6 +237,8 @@ class _Lattice:
             more = node > self.root[at]
             at, node = at[more], node[more]
         path = np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)  # in order of word and end
+        # Summed piece by piece, so that it does not depend on the words around.
+        self.best = np.bincount(self.word[path], weights=self.scores[path], minlength=len(self.leaf))
         fallback = self.ids[path] < 0
         count = np.where(fallback, self.end[path] - self.start[path], 1)
         self.path_ids = np.repeat(self.ids[path], count)
@@ -234,7 +254,8 @@ class _Lattice:
     def _best(self, source: np.ndarray, target: np.ndarray, depth: np.ndarray) -> np.ndarray:
         """Best score of each node inside its section, passed from source to target by rising depth."""
         score = np.full(self.n_nodes, -np.inf)
-        order = np.argsort(depth, kind="stable")
+        small = depth.max(initial=0) < 1 << 16
+        order = np.argsort(depth.astype(np.uint16) if small else depth, kind="stable")
         source, target, gain = source[order], target[order], self.scores[order]
         bounds = np.searchsorted(depth[order], np.arange(int(depth.max(initial=-1)) + 2))
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
@@ -271,6 +292,42 @@ class _Lattice:
         return out
 
 
+class _Known:
+    """Words with their best segmentations, by code: what they score, what another choice costs, and their pieces."""
+
+    def __init__(self, codes, best, gap, count, ids) -> None:
+        self.codes, self.best, self.gap, self.count, self.ids = codes, best, gap, count, ids
+        self.first = np.cumsum(count) - count
+
+    @classmethod
+    def nothing(cls) -> _Known:
+        none, whole = np.zeros(0), np.zeros(0, np.int64)
+        return cls(np.zeros(0, np.uint64), none, none, whole, np.zeros(0, np.int32))
+
+    def has(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.codes):
+            return np.zeros(len(codes), bool)
+        return self.codes[np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)] == codes
+
+    def pieces(self, at: np.ndarray) -> np.ndarray:
+        return self.ids[ranges(self.first[at], self.count[at])]
+
+    def with_words(self, codes: np.ndarray, lattice: _Lattice) -> _Known:
+        """These words and those of the lattice, whose codes are given."""
+        both = np.concatenate([self.codes, codes])
+        order = np.argsort(both, kind="stable")
+        pairs = zip((self.best, self.gap, self.count), (lattice.best, lattice.gap, lattice.path_count), strict=True)
+        best, gap, count = (np.concatenate(x)[order] for x in pairs)
+        first = np.concatenate([self.first, len(self.ids) + lattice.path_first])[order]
+        ids = np.concatenate([self.ids, lattice.path_ids.astype(np.int32)])
+        return _Known(both[order], best, gap, count, ids[ranges(first, count)])
+
+
+def _lattice_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, vocabulary: _Vocabulary) -> _Lattice:
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    return _Lattice(data[ranges(starts, sizes)], first, vocabulary)
+
+
 def combine(choices: list[list[float]], n: int) -> list[tuple[float, tuple[int, ...]]]:
     """The n cheapest ways to take one choice of every list: (cost, choice of each); lists rise from 0."""
     start = tuple(0 for _ in choices)
@@ -287,31 +344,58 @@ def combine(choices: list[list[float]], n: int) -> list[tuple[float, tuple[int,
     return out
 
 
+def _rank_words(
+    asked: list[int], data: np.ndarray, at: np.ndarray, sizes: np.ndarray, kinds: np.ndarray,
+    vocabulary: _Vocabulary, n: int,
+) -> dict[int, list[tuple[float, list[int]]]]:
+    """The n best segmentations of each of the asked words; a worker remembers them."""
+    if len(vocabulary.ranked) > _KNOWN_RANKED:
+        vocabulary.ranked = {}
+    new = np.array([k for k in asked if (int(kinds[k]), n) not in vocabulary.ranked], np.int64)
+    block = np.cumsum(sizes[new]) // _LATTICE
+    out = {}
+    for own in np.split(new, np.flatnonzero(np.diff(block)) + 1) if len(new) else ():
+        lattice = _lattice_of(data, at[own], sizes[own], vocabulary)
+        for word, k in enumerate(own.tolist()):
+            out[k] = lattice.n_best(word, n)
+            if sizes[k] <= _SHORT:
+                vocabulary.ranked[int(kinds[k]), n] = out[k]
+    return {k: out[k] if k in out else vocabulary.ranked[int(kinds[k]), n] for k in asked}
+
+
 def encode_column(column: pa.Array, vocabulary: _Vocabulary, n_best: int) -> tuple[list, np.ndarray, np.ndarray, list]:
     """Offsets and ids of all texts, their best scores, and the other choices of each."""
     data, bounds = _with_prefix(*column_bytes(column))
     starts, codes = _split(data, bounds, vocabulary.cut)
-    _, at, same = np.unique(codes, return_index=True, return_inverse=True)
-    sizes = np.diff(starts)[at]
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    lattice = _Lattice(data[ranges(starts[:-1][at], sizes)], first, vocabulary)
-    ids = lattice.path_ids[ranges(lattice.path_first[same], lattice.path_count[same])]
+    kinds, at, same = np.unique(codes, return_index=True, return_inverse=True)
+    sizes, at = np.diff(starts)[at], starts[:-1][at]
+    if len(vocabulary.known.codes) > _KNOWN_WORDS or len(vocabulary.known.ids) > _KNOWN_PIECES:
+        vocabulary.known = _Known.nothing()
+    new = np.flatnonzero(~vocabulary.known.has(kinds))
+    block = np.cumsum(sizes[new]) // _LATTICE
+    for own in np.split(new, np.flatnonzero(np.diff(block)) + 1) if len(new) else ():
+        vocabulary.known = vocabulary.known.with_words(kinds[own], _lattice_of(data, at[own], sizes[own], vocabulary))
+    known = vocabulary.known
+    place = np.searchsorted(known.codes, kinds)
+    of_word = place[same]
+    ids = known.pieces(of_word)
     words = np.searchsorted(starts, bounds)
-    token_ends = np.concatenate([[0], np.cumsum(lattice.path_count[same])])
-    scores = np.concatenate([[0.0], np.cumsum(lattice.best[same])])
+    token_ends = np.concatenate([[0], np.cumsum(known.count[of_word])])
+    scores = np.concatenate([[0.0], np.cumsum(known.best[of_word])])
     scores = scores[words[1:]] - scores[words[:-1]]
-    known: dict[int, list[tuple[float, list[int]]]] = {}
+    # The words of each text whose second choice costs least.
+    nearest = []
+    for a, b in zip(words[:-1], words[1:], strict=True):
+        gap = known.gap[of_word[a:b]]
+        near = np.argpartition(gap, n_best - 2)[: n_best - 1] if len(gap) >= n_best > 1 else np.arange(len(gap))
+        nearest.append(sorted(int(k) for k in near if np.isfinite(gap[k])) if n_best > 1 else [])
+    ranked = _rank_words(
+        sorted({int(same[a + k]) for a, near in zip(words[:-1], nearest, strict=True) for k in near}),
+        data, at, sizes, kinds, vocabulary, n_best,
+    )
     others = []
-    for text, (a, b) in enumerate(zip(words[:-1], words[1:], strict=True)):
-        gap = lattice.gap[same[a:b]]
-        near = np.argpartition(gap, n_best - 2)[: n_best - 1] if len(gap) >= n_best else np.arange(len(gap))
-        near = sorted(int(k) for k in near if np.isfinite(gap[k])) if n_best > 1 else []
-        rows = []
-        for k in near:
-            word = int(same[a + k])
-            if word not in known:
-                known[word] = lattice.n_best(word, n_best)
-            rows.append(known[word])
+    for text, (a, near) in enumerate(zip(words[:-1], nearest, strict=True)):
+        rows = [ranked[int(same[a + k])] for k in near]
         costs = [[max(0.0, row[0][0] - score) for score, _ in row] for row in rows]
         others.append(
             [
