@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.components import connected
-from marketloom.llm.words import SPACED, Words, find_words, mix, ranges, runs, slices, whole_runs
+from marketloom.llm.words import SPACED, Words, find_words, mix, ranges, runs, slices, start_in_worker, whole_runs
 from marketloom.scratch import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -86,6 +86,7 @@ def signatures(code: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    start_in_worker("near_dups")
     for batch in slices(batches):
         text, code = shingle_sets(find_words(batch.column(1), SPACED, lower=True))
         n = np.bincount(text, minlength=batch.num_rows)
@@ -119,6 +120,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose full sets are similar enough."""
+    start_in_worker("near_dups")
     for batch in slices(slices(batches, "text_a"), "text_b"):
         sides = []
         for name in ("text_a", "text_b"):

@@ -63,6 +63,12 @@ def release_memory() -> None:
         return
 
 
+def start_in_worker(owner: str) -> None:
+    """Drop what other operators keep in this worker process, and give the memory back."""
+    worker_cache(owner)
+    release_memory()
+
+
 def power_tables(n: int) -> list[np.ndarray]:
     """Powers 0 to n-1 of an odd number, and of its inverse, modulo 2^64."""
     cache = worker_cache(_SHARED)
