@@ -22,14 +22,16 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.words import ALPHANUMERIC, covered, find_words, ranges, release_memory, slices
+from marketloom.llm.words import ALPHANUMERIC, covered, find_words, ranges, release_memory, slices, start_in_worker
 from marketloom.scratch import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 13
-# Benchmark text that is looked up, and broadcast, at one time.
-BLOCK_BYTES = 16 << 20
+# Benchmark text that is looked up, and broadcast, at one time; its windows take some 40 times as much.
+BLOCK_BYTES = 2 << 20
+# Text of one row of the index.
+ROW_BYTES = 1 << 18
 # Proximity: this many rarest words of an item, all this near to the rarest.
 NEAR_TERMS = 4
 NEAR_SPAN = 26
@@ -51,7 +53,8 @@ def build_index(docs: DataFrame) -> DataFrame:
 
 
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
+    start_in_worker("decontaminate")
+    for part in slices(batches, limit=ROW_BYTES):
         words = find_words(part.column(1), ALPHANUMERIC, lower=True)
         order = np.argsort(words.codes, kind="stable")
         ranked = words.codes[order]
@@ -96,7 +99,7 @@ def lookups(items: list[tuple[object, str | None]]) -> Lookups:
         terms.append(np.unique(own))
         for k in range(max(1, len(own) - WINDOW + 1)):
             found.setdefault(tuple(own[k : k + WINDOW]), set()).add(name)
-    table = np.full((len(found), WINDOW), -1, np.int64)
+    table = np.full((len(found), WINDOW), -1, np.int32)
     for row, window in enumerate(found):
         table[row, : len(window)] = window
     return Lookups(vocabulary, table, (table >= 0).sum(1), [sorted(x) for x in found.values()], names, terms)
@@ -105,7 +108,7 @@ def lookups(items: list[tuple[object, str | None]]) -> Lookups:
 def rank_by_rarity(asked: Lookups, counts: np.ndarray) -> None:
     """Put each window's words, and each item's, in order of their counts in the corpus."""
     weight = np.where(asked.windows >= 0, counts[asked.windows], np.iinfo(np.int64).max)
-    asked.order = np.argsort(weight, axis=1, kind="stable")
+    asked.order = np.argsort(weight, axis=1, kind="stable").astype(np.int8)
     asked.near = np.full((len(asked.names), NEAR_TERMS), -1, np.int64)
     for row, terms in enumerate(asked.item_terms):
         rare = terms[np.lexsort((terms, counts[terms]))][:NEAR_TERMS]
@@ -122,6 +125,7 @@ def _find_terms(vocabulary: np.ndarray, terms: np.ndarray) -> np.ndarray:
 
 def _count_terms(asked) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_in_worker("decontaminate")
         vocabulary = asked.value["vocabulary"]
         total = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
@@ -158,25 +162,29 @@ class _Chunk:
 
     def phrases(self, asked: Lookups, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, first place) of every exact occurrence."""
-        local = np.where(asked.windows >= 0, at[asked.windows], 0)
-        alive = np.flatnonzero((local >= 0).all(1))
+        rare = np.take_along_axis(asked.windows, asked.order[:, :1].astype(np.int64), 1)[:, 0]
+        alive = np.flatnonzero(at[rare] >= 0)
+        windows = asked.windows[alive]
+        local = np.where(windows >= 0, at[windows], 0)
+        whole = (local >= 0).all(1)
+        alive, windows, local = alive[whole], windows[whole], local[whole]
         if not len(alive):
             return alive, alive
-        rarest = asked.order[alive, 0]
-        owner, place = self.postings(local[alive, rarest])
-        window, start = alive[owner], place - rarest[owner]
-        ok = (start >= 0) & (start + asked.lengths[window] <= self.n)
-        window, start = window[ok], start[ok]
+        order, lengths = asked.order[alive].astype(np.int64), asked.lengths[alive]
+        row, place = self.postings(local[np.arange(len(alive)), order[:, 0]])
+        start = place - order[row, 0]
+        ok = (start >= 0) & (start + lengths[row] <= self.n)
+        row, start = row[ok], start[ok]
         for rank in range(1, WINDOW):
-            offset = asked.order[window, rank]
-            real = asked.windows[window, offset] >= 0
-            key = local[window, offset] * (self.n + 1) + start + offset
+            offset = order[row, rank]
+            real = windows[row, offset] >= 0
+            key = local[row, offset] * (self.n + 1) + start + offset
             hit = self.keys[np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)] == key
-            window, start = window[hit | ~real], start[hit | ~real]
-            if not len(window):
+            row, start = row[hit | ~real], start[hit | ~real]
+            if not len(row):
                 break
-        inside = self.doc_of(start) == self.doc_of(start + asked.lengths[window] - 1)
-        return window[inside], start[inside]
+        inside = self.doc_of(start) == self.doc_of(start + lengths[row] - 1)
+        return alive[row[inside]], start[inside]
 
     def nearby(self, asked: Lookups, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(item, document) where the item's rarest words stand near its rarest one."""
@@ -208,7 +216,7 @@ def _match(asked) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     )
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()  # what an earlier stage left in this worker
+        start_in_worker("decontaminate")
         query = Lookups(**asked.value)
         for batch in batches:
             for i in range(batch.num_rows):
