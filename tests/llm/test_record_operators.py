@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketloom.llm import licenses, pieces, pii, sharding, site_quality, token_counts
+from marketloom.llm import licenses, pieces, pii, sharding, site_quality, token_counts, words
 from marketloom.llm.queries import QUERIES, SQL
 from marketloom.scratch import written
 from tools.check_queries import compare
@@ -278,3 +278,29 @@ def test_queries_match_their_sql(spark, name):
 def test_queries_return_rows(spark, name):
     rows = QUERIES[name](spark, SF)
     assert rows.count() > 0
+
+
+def test_remembered_words_change_no_result(monkeypatch):
+    model = pieces.read_model(pieces.MODEL)
+    texts = ["the cat sat on the mat", "", "a cat, the hat\nand 漢字 " * 30, None, "x" * 500, "the cat sat on the mat"]
+    known = pieces._Vocabulary(model)
+
+    def each(vocabulary_of):
+        rows = []
+        for text in texts * 2:
+            _, ids, scores, others = pieces.encode_column(pa.array([text], pa.string()), vocabulary_of(), 4)
+            rows.append((ids.tolist(), scores.tolist(), others))
+        return rows
+
+    fresh = each(lambda: pieces._Vocabulary(model))
+    assert each(lambda: known) == fresh
+    monkeypatch.setattr(pieces, "_KNOWN_WORDS", 2)
+    monkeypatch.setattr(pieces, "_KNOWN_RANKED", 1)
+    monkeypatch.setattr(pieces, "_LATTICE", 8)
+    assert each(lambda: known) == fresh
+
+
+def test_worker_drops_what_other_operators_keep():
+    words.worker_cache("one")["table"] = 1
+    words.start_in_worker("other")
+    assert words.worker_cache("one") == {}
