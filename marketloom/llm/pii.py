@@ -46,9 +46,8 @@ _CONTEXT = 32
 # What the labelling rules look at is not among them.
 FEATURES = ("kind", "size", "digits", "letters", "capitals", "separators", "turns", "secret", "contact", "quoted")
 
-# Documents whose candidates the trees are fitted on, and how many of these candidates; both by hash, so about as many.
+# Documents whose candidates the trees are fitted on, by hash, so about as many.
 TRAIN_DOCS = 20_000
-TRAIN_ROWS = 20_000
 TREES, DEPTH = 10, 3
 # A fourth of the candidates is held out; thresholds keep this precision there.
 PRECISION = 0.95
@@ -256,24 +255,27 @@ def _below(hashed: Column, share: float) -> Column:
 def fit_selector(rows: DataFrame):
     """The fitted trees and a threshold by kind, or None where the candidates are all of one label.
 
-    About TRAIN_ROWS candidates are taken by hash; a fourth of these, by another
-    hash, sets the thresholds.
+    Every candidate counts: a fourth of them, by hash, sets the thresholds, and the
+    trees are fitted on all others. Candidates with the same features and label are
+    one row that weighs as much as they are many.
     """
-    candidates = written(rows.select("doc_id", F.explode("candidates").alias("c")), "candidates")
-    share = min(1.0, TRAIN_ROWS / max(candidates.count(), 1))
-    sample = candidates.where(_below(F.xxhash64("c.features", "c.start", "doc_id"), share)).select(
+    candidates = rows.select("doc_id", F.explode("candidates").alias("c")).select(
         F.col("c.kind").alias("name"),
-        "c.label",
+        F.col("c.label").alias("label"),
         F.col("c.features").alias("f"),
         (F.pmod(F.xxhash64("doc_id", "c.end"), F.lit(4)) == 0).alias("held"),
     )
-    train = sample.where(~F.col("held"))
+    counted = candidates.groupBy("name", "label", "f", "held").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    counted = written(counted, "candidates")
+    train = counted.where(~F.col("held"))
     if train.select("label").distinct().count() < 2:
         return None
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(train.select("label", "f.*"))
-    model = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(assembled)
-    scored = sample.where("held").select("name", "label", F.floor(_margin(model, F.col("f")) * _STEPS).alias("step"))
-    steps = scored.groupBy("name", "step").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
+    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(train.select("label", "n", "f.*"))
+    trees = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH, seed=7)
+    model = trees.fit(assembled)
+    scored = counted.where("held").select("name", "label", "n", F.floor(_margin(model, F.col("f")) * _STEPS).alias("step"))
+    good_n = F.sum(F.col("label") * F.col("n")).alias("good")
+    steps = scored.groupBy("name", "step").agg(good_n, F.sum("n").alias("n")).collect()
     thresholds = {}
     for kind in GENERATORS:  # at most _STEPS rows each
         own = sorted(((r["step"], r["good"], r["n"]) for r in steps if r["name"] == kind), reverse=True)

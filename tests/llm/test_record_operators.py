@@ -79,6 +79,20 @@ def test_selected_spans_and_redaction(make_docs):
     assert pii.redact(make_docs([])).count() == 0
 
 
+def test_every_candidate_counts_in_the_fit(spark):
+    """Two held-out candidates of rare kinds among 80,000 have thresholds of their own."""
+    held = "pmod(xxhash64(id, cast(1 as int)), 4L) = 0"
+    zeros = ", ".join(f"cast(id % 2 * 20 as double) as {name}" for name in pii.FEATURES)
+    first = spark.range(80_000).where(held).agg(F.array_sort(F.collect_list("id"))).first()[0]
+    kind = f"case id when {first[100]} then 'address' when {first[101]} then 'number' else 'key' end"
+    label = f"case when id % 2 = 1 or id in ({first[100]}, {first[101]}) then 1.0D else 0.0D end"
+    rows = spark.range(80_000).selectExpr(
+        "id as doc_id",
+        f"array(struct({kind} as kind, 4 as rank, 0 as start, 1 as end, struct({zeros}) as features, {label} as label)) as candidates",
+    )
+    assert set(pii.fit_selector(rows)[1]) == {"key", "address", "number"}
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces._Vocabulary(pieces.read_model(pieces.MODEL))
