@@ -8,7 +8,8 @@ threshold on that is set per generator for precision on held-out candidates.
 Rules that need strong context label the training candidates.
 
 All of it is DataFrame functions and Spark's own trees; the fitted trees become
-column expressions, so texts are scanned once and never shuffled.
+column expressions. All texts are scanned twice, once for the candidates that the
+trees are fitted on and once for the spans, and never shuffled.
 """
 
 from __future__ import annotations
@@ -46,8 +47,6 @@ _CONTEXT = 32
 # What the labelling rules look at is not among them.
 FEATURES = ("kind", "size", "digits", "letters", "capitals", "separators", "turns", "secret", "contact", "quoted")
 
-# Documents whose candidates the trees are fitted on, by hash, so about as many.
-TRAIN_DOCS = 20_000
 TREES, DEPTH = 10, 3
 # A fourth of the candidates is held out; thresholds keep this precision there.
 PRECISION = 0.95
@@ -247,11 +246,6 @@ def _margin(model, features: Column) -> Column:
     return 1 / (1 + F.exp(-2 * reduce(Column.__add__, trees)))
 
 
-def _below(hashed: Column, share: float) -> Column:
-    """Whether a hash lies in the first `share` of all values."""
-    return F.pmod(hashed, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-
-
 def fit_selector(rows: DataFrame):
     """The fitted trees and a threshold by kind, or None where the candidates are all of one label.
 
@@ -301,8 +295,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     slim = docs.select(
         F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    some = slim.where(_below(F.xxhash64("doc_id", "text"), min(1.0, TRAIN_DOCS / max(slim.count(), 1))))
-    training = with_candidates(some.select("doc_id", "text").withColumn("_text", F.coalesce("text", F.lit(""))))
+    training = with_candidates(slim.select("doc_id", "text").withColumn("_text", F.coalesce("text", F.lit(""))))
     fitted = fit_selector(training.select("doc_id", "candidates"))
     based = with_base_spans(slim)
     if fitted is None or not fitted[1]:

@@ -93,6 +93,14 @@ def test_every_candidate_counts_in_the_fit(spark):
     assert set(pii.fit_selector(rows)[1]) == {"key", "address", "number"}
 
 
+def test_selector_is_fitted_on_all_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "fit_selector", lambda rows: seen.append(rows.agg(F.sum(F.size("candidates"))).first()[0]))
+    docs = spark.range(50_000).selectExpr("id as doc_id", "concat('see ', sha1(cast(id as string)), ' there') as text")
+    assert pii.find_pii(docs).count() == 50_000
+    assert seen == [50_000]
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces._Vocabulary(pieces.read_model(pieces.MODEL))
