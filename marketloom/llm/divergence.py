@@ -1,12 +1,9 @@
 """Source divergence audit: how far the term shares of a language's sources lie apart.
 
-Texts are cut into chunks at white space and the chunks of each document are
-counted. Every globally distinct chunk is cut into terms once, and its terms are
-joined back to the counts. Occurrences of a term are sums over its chunks. The
-number of documents of a term lies between the greatest and the sum of those of
-its chunks; only for terms where that leaves the threshold open are the
-documents themselves compared, and a bit map of fixed size keeps all other
-chunks out of that comparison.
+A term is a run of bytes of one class, so terms are cut from the bytes of some
+texts at a time. Every document lies whole in one such slice: the numbers of
+occurrences and of documents of a term by language and source are sums over the
+slices, which Spark adds up, and no document is looked at twice.
 
 Shares are whole numbers. Terms that neither of two sources has add the same to
 their distance, and terms of one alone depend on the other's least share only,
@@ -16,7 +13,7 @@ so a pair of sources costs the terms that both have, not the vocabulary.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketloom.llm.words import SPACED, Words, find_words, ranges, slices
+from marketloom.llm.words import Words, byte_class, find_words, ranges, slices
 from marketloom.scratch import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -36,14 +33,12 @@ MIN_DOCS = 30
 PRIOR = 5
 SCALE = 1_000_000_000
 TOP_TERMS = 50
-# Bits of the map that tells which chunks may need their documents compared: 16 MB.
-MAP_BITS = 27
-# Bits of one row of Spark's bit map functions.
-_ROW_BITS = 32768
-# Text whose chunks are counted at one time.
-_SLICE = 16 << 20
+# Text whose terms are counted at one time; the arrays take some 30 times as much.
+_SLICE = 4 << 20
+# The bytes of TERM; those of code points beyond ASCII are all among them.
+_TERM_BYTES = byte_class((0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_CHUNKS = "lang string, source string, chunk string, n bigint, docs bigint"
+_COUNTED = "lang string, source string, term string, n bigint, docs bigint"
 
 
 def _strings(words: Words, at: np.ndarray) -> pa.Array:
@@ -55,10 +50,10 @@ def _strings(words: Words, at: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(at), buffers).cast(pa.string())
 
 
-def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunk counts by language and source of some texts at a time."""
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences and documents of each term by language and source, of some texts at a time."""
     for batch in slices(batches, limit=_SLICE):
-        words = find_words(batch.column("text"), SPACED)
+        words = find_words(batch.column("text"), _TERM_BYTES, lower=True)
         groups: dict[tuple[str, str], int] = {}
         names = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
         of_text = np.array([groups.setdefault(name, len(groups)) for name in names], np.int64)
@@ -78,70 +73,7 @@ def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             pa.array(np.add.reduceat(n, first) if len(first) else n),
             pa.array(np.diff(np.append(first, len(n))).astype(np.int64)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "n", "docs"])
-
-
-def _place(codes: np.ndarray) -> np.ndarray:
-    """Bits of the map that stand for these codes."""
-    return (codes & np.uint64((1 << MAP_BITS) - 1)).astype(np.int64)
-
-
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(_place(find_words(batch.column("chunk"), SPACED).codes))], ["place"])
-
-
-def _chunks_in_map(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in slices(batches, limit=_SLICE):
-            words = find_words(batch.column("text"), SPACED)
-            place = _place(words.codes)
-            asked = np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
-            _, at, local = np.unique(words.codes[asked], return_index=True, return_inverse=True)
-            width = max(len(at), 1)
-            found = np.unique(words.text_of_word()[asked] * width + local)
-            row = pa.array(found // width)
-            chunk = _strings(words, asked[at[found % width]])
-            columns = [batch.column("lang").take(row), batch.column("doc").take(row), chunk]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "doc", "chunk"])
-
-    return find
-
-
-def _bit_map(chunks: DataFrame) -> np.ndarray:
-    """Bits of all chunks' codes; the map has 2 ** MAP_BITS bits whatever their number."""
-    place = F.col("place") + 1
-    rows = chunks.select("chunk").mapInArrow(_places, "place bigint").groupBy(F.bitmap_bucket_number(place).alias("row")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-    )
-    bits = np.zeros((1 << MAP_BITS) // 8, np.uint8)
-    width = _ROW_BITS // 8
-    for found in rows.toLocalIterator():
-        at = (found["row"] - 1) * width
-        bits[at : at + width] = np.frombuffer(found["bits"], np.uint8)
-    return bits
-
-
-def _kept_chunks(docs: DataFrame, chunks: DataFrame, terms: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, chunk, kept) of the chunks with terms that stand in at least `min_docs` documents of the language.
-
-    A chunk that holds a kept term twice is there twice.
-    """
-    by_lang = chunks.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
-    spread = by_lang.join(terms, "chunk").select("lang", "chunk", "docs", F.explode("terms").alias("term"))
-    spread = written(spread, "term_chunks")
-    bounds = spread.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
-    bounds = written(bounds.where(F.col("most") >= min_docs), "term_bounds")
-    unclear = bounds.where(F.col("least") < min_docs).select("lang", "term")
-    asked = written(spread.join(unclear, ["lang", "term"]).select("lang", "term", "chunk").distinct(), "asked_chunks")
-    shared = docs.sparkSession.sparkContext.broadcast(_bit_map(asked))
-    numbered = docs.select("lang", "text", F.monotonically_increasing_id().alias("doc"))
-    found = numbered.mapInArrow(_chunks_in_map(shared), "lang string, doc bigint, chunk string")
-    counted = found.join(asked, ["lang", "chunk"]).groupBy("lang", "term").agg(F.count_distinct("doc").alias("docs"))
-    sure = bounds.where(F.col("least") >= min_docs).select("lang", "term")
-    kept = sure.union(counted.where(F.col("docs") >= min_docs).select("lang", "term"))
-    return written(spread.join(kept, ["lang", "term"]).select("lang", "chunk", "term"), "kept_chunks")
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
 
 
 def _share(count: str, total: str, n_terms: str) -> Column:
@@ -206,17 +138,15 @@ def audit_sources(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERM
     other columns are not read.
     """
     slim = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counted = slim.mapInArrow(_count_chunks, _CHUNKS)
-    chunks = counted.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    chunks = written(chunks, "chunk_counts")
-    found = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(TERM), F.lit(0))
-    terms = chunks.select("chunk").distinct().select("chunk", found.alias("terms")).where(F.size("terms") > 0)
+    counted = slim.mapInArrow(_count_terms, _COUNTED)
+    terms = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    terms = written(terms, "terms")
 
-    kept = _kept_chunks(slim, chunks, terms, min_docs)
-    counts = chunks.join(kept, ["lang", "chunk"]).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    counts = written(counts, "term_counts")
+    kept = terms.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
+    kept = written(kept.select("lang", "term"), "kept_terms")
+    counts = written(terms.join(kept, ["lang", "term"]).select("lang", "source", "term", "n"), "term_counts")
 
-    n_terms = kept.groupBy("lang").agg(F.count_distinct("term").alias("n_terms"))
+    n_terms = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = slim.select("lang", "source").distinct().join(n_terms, "lang", "left").join(totals, ["lang", "source"], "left")
     groups = written(groups.fillna(0, ["n_terms", "total"]).withColumn("zero", _share("0", "total", "n_terms")), "groups")

@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,6 +202,22 @@ def test_divergence_as_by_hand(spark, monkeypatch):
         assert {tuple(r) for r in got} == audit_by_hand(rows, min_docs, 5)
 
 
+def test_terms_of_much_text_are_counted_in_little_memory():
+    """48 MB in one batch, nearly all words new; a document's terms in two chunks count as one document."""
+    rng = np.random.default_rng(3)
+    letters = rng.choice(list(b"abcdefghij     "), (3000, 16_000)).astype(np.uint8)
+    texts = pa.array([row.tobytes().decode() for row in letters] + ["Mix,mix (MIX) mix"])
+    batch = pa.RecordBatch.from_arrays([texts, pa.array(["en"] * 3001), pa.array(["s"] * 3001)], ["text", "lang", "source"])
+    tracemalloc.start()
+    seen = Counter()
+    for out in divergence._count_terms(iter([batch])):
+        seen.update({c: sum(n for t, n in zip(out["term"].to_pylist(), out[c].to_pylist(), strict=True) if t == "mix") for c in ("n", "docs")})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == {"n": 4, "docs": 1}
+    assert peak < 300 << 20
+
+
 def test_empty_tables_of_corpus_operators(make_docs):
     none = make_docs([])
     assert class_lm.score_texts(none).collect() == []
