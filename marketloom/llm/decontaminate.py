@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.words import ALPHANUMERIC, covered, find_words, ranges, release_memory, slices, start_in_worker
-from marketloom.scratch import written
+from marketloom.scratch import scratch_folder, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -288,20 +288,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
     document clean; other columns are not read.
     """
     spark = docs.sparkSession
-    index = written(build_index(docs), "postings")
     parts = []
-    for block in blocks(benchmark, block_bytes):
-        asked = lookups(block)
-        shared = spark.sparkContext.broadcast(vars(asked))  # plain arrays: tasks have no package
-        rows = index.select("terms", "term_first").mapInArrow(_count_terms(shared), "term bigint, n bigint")
-        counts = np.zeros(len(asked.vocabulary), np.int64)
-        for row in rows.groupBy("term").agg(F.sum("n").alias("n")).collect():  # within the block's words
-            counts[row["term"]] = row["n"]
-        rank_by_rarity(asked, counts)
-        shared.unpersist()
-        shared = spark.sparkContext.broadcast(vars(asked))
-        parts.append(written(index.mapInArrow(_match(shared), _HITS), "hits"))
-        shared.unpersist()  # one block's tables are out at a time
+    with scratch_folder(spark, "index") as stored:  # the index goes when all blocks are looked up
+        index = stored(build_index(docs), "postings")
+        for block in blocks(benchmark, block_bytes):
+            asked = lookups(block)
+            shared = spark.sparkContext.broadcast(vars(asked))  # plain arrays: tasks have no package
+            rows = index.select("terms", "term_first").mapInArrow(_count_terms(shared), "term bigint, n bigint")
+            counts = np.zeros(len(asked.vocabulary), np.int64)
+            for row in rows.groupBy("term").agg(F.sum("n").alias("n")).collect():  # within the block's words
+                counts[row["term"]] = row["n"]
+            rank_by_rarity(asked, counts)
+            shared.unpersist()
+            shared = spark.sparkContext.broadcast(vars(asked))
+            parts.append(written(index.mapInArrow(_match(shared), _HITS), "hits"))
+            shared.unpersist()  # one block's tables are out at a time
     found = reduce(DataFrame.unionByName, parts)
     if len(parts) > 1:
         merged = [F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends")]

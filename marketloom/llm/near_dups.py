@@ -16,7 +16,7 @@ rows, and no link inside a bucket is lost.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.components import connected
 from marketloom.llm.words import SPACED, Words, find_words, mix, ranges, runs, slices, start_in_worker, whole_runs
-from marketloom.scratch import written
+from marketloom.scratch import scratch_folder, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -201,16 +201,19 @@ def _in_blocks(groups: DataFrame, texts: DataFrame, block: int) -> DataFrame:
     return asking.unionByName(asked)
 
 
-def find_links(sets: DataFrame, texts: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
+def find_links(
+    sets: DataFrame, texts: DataFrame, block: int = BLOCK_SHINGLES, stored: Callable[[DataFrame, str], DataFrame] = written
+) -> DataFrame:
     """Verified links (a, b) that join the same documents as all links inside buckets would.
 
     `sets` has doc_id, n_shingles and bands of one document per class, `texts`
     their doc_id and text. A bucket's leader is the member that shares most
-    buckets, which in a group of edited copies tends to be the original.
+    buckets, which in a group of edited copies tends to be the original. The
+    result reads tables that `stored` wrote.
     """
     buckets = sets.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
     counts = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(buckets.join(counts, "key"), "buckets")
+    members = stored(buckets.join(counts, "key"), "buckets")
     mates = members.groupBy("doc_id", "n_shingles").agg(F.sum("n").alias("mates"))
     ranked = members.select("key", "doc_id").join(mates, "doc_id")
     best = F.max(F.struct("mates", (-F.col("doc_id")).alias("rank"), F.col("n_shingles").alias("n_leader"))).alias("best")
@@ -218,12 +221,12 @@ def find_links(sets: DataFrame, texts: DataFrame, block: int = BLOCK_SHINGLES) -
     groups = members.join(leaders, "key").select(
         (-F.col("best.rank")).alias("leader"), F.col("best.n_leader").alias("n_leader"), "doc_id", "n_shingles"
     )
-    groups = written(groups.distinct(), "groups")
-    texts = written(texts.join(mates.select("doc_id"), "doc_id", "left_semi"), "candidate_texts")
+    groups = stored(groups.distinct(), "groups")
+    texts = stored(texts.join(mates.select("doc_id"), "doc_id", "left_semi"), "candidate_texts")
     # Sets whose sizes differ more than this cannot be similar enough.
     fits = f"100 * least(n_leader, n_shingles) >= {SIMILAR_PERCENT} * greatest(n_leader, n_shingles)"
     pairs = groups.where("doc_id != leader").where(fits).select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
-    links = written(_with_texts(pairs, texts).mapInArrow(_verify, "a bigint, b bigint"), "links")
+    links = stored(_with_texts(pairs, texts).mapInArrow(_verify, "a bigint, b bigint"), "links")
     linked = links.select(F.col("a").alias("leader"), F.col("b").alias("doc_id"), F.lit(True).alias("linked"))
     marked = groups.join(linked, ["leader", "doc_id"], "left")
     marked = marked.withColumn("joined", F.col("linked").isNotNull() | (F.col("doc_id") == F.col("leader")))
@@ -231,7 +234,7 @@ def find_links(sets: DataFrame, texts: DataFrame, block: int = BLOCK_SHINGLES) -
     return links.unionByName(rest)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, stored: Callable[[DataFrame, str], DataFrame] = written) -> DataFrame:
     """Component of every row of `docs` (doc_id, text).
 
     Returns doc_id, n_shingles, component_id (smallest doc_id that verified links
@@ -241,17 +244,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts than a shingle have one; rows with a NULL id have no links, a NULL
     component, and are kept; rows that share an id count as one document, so a
     row repeated in full is kept as often as it stands there; an empty table
-    gives an empty result; other columns are not read.
+    gives an empty result; other columns are not read. The result reads tables
+    that `stored` wrote.
     """
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written(slim.mapInArrow(_sign, _SIGNED), "signatures")
+    signed = stored(slim.mapInArrow(_sign, _SIGNED), "signatures")
     same_set = ["set_a", "set_b", "n_shingles"]
     linked = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = written(
+    classes = stored(
         linked.groupBy(*same_set).agg(F.min("doc_id").alias("head"), F.first("bands").alias("bands")), "classes"
     )
     heads = classes.select(F.col("head").alias("doc_id"), "n_shingles", "bands")
-    labels = connected(find_links(heads, slim))
+    with scratch_folder(docs.sparkSession, "links") as passing:  # buckets and texts go when the components are known
+        labels = connected(find_links(heads, slim, stored=passing))
     named = classes.join(labels, classes["head"] == labels["node"], "left").select(
         *same_set, F.coalesce("label", "head").alias("component")
     )
@@ -265,6 +270,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of one document of each group, with all their columns."""
-    found = near_duplicates(docs)
-    extra = found.where(~F.col("kept")).select(F.col("doc_id").alias("_copy")).distinct()
+    with scratch_folder(docs.sparkSession, "signed") as stored:
+        found = near_duplicates(docs, stored)
+        extra = written(found.where(~F.col("kept")).select(F.col("doc_id").alias("_copy")).distinct(), "copies")
     return docs.join(extra, docs["doc_id"].cast("bigint") == extra["_copy"], "left_anti")

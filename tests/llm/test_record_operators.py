@@ -288,6 +288,16 @@ def test_pipeline_stages_do_what_they_say(spark, make_docs):
     assert corpus_pipeline.run(spark, SF).count() == seen[-1]
 
 
+def test_deduplicating_stages_leave_small_tables(spark, tmp_path, monkeypatch):
+    """What near-dedup and decontamination store on their way is gone when their result is read."""
+    monkeypatch.setattr("marketloom.scratch.scratch_root", lambda spark: str(tmp_path))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = [stage(spark, docs, SF).count() for _, stage in corpus_pipeline.STAGES[1:3]]
+    assert 0 < min(kept) <= docs.count()
+    left = {p.parent.name.rsplit("-", 1)[0] for p in tmp_path.rglob("*.parquet")}
+    assert left <= {"copies", "dirty", "edges", "labels", "hits"}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
