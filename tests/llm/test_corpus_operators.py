@@ -242,6 +242,31 @@ def test_perplexity_in_other_scripts(make_docs, letters, signs):
     assert kept == set(range(150))
 
 
+def test_character_model_is_a_distribution_over_all_characters():
+    rng = np.random.default_rng(2)
+    text = "".join(rng.choice(list("abc AÉé漢字的е5.$"), 4000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    code, pair, bounds = quality_rules._codes(data, np.array([0, len(data)]))
+    assert [chr(p & 0x1FFFFF) for p in pair] == list(text) and [chr(p >> 21) for p in pair] == list(" " + text[:-1])
+    assert bounds.tolist() == [0, len(text)] and len(code) == len(text)
+    model = quality_rules.character_model(*np.unique(pair, return_counts=True))
+    points = np.arange(0x110000)
+    for before in "a漢q":
+        share = 2.0 ** -model.bits((ord(before) << 21) | points)
+        assert np.allclose(np.bincount(quality_rules.symbols(points), share, 30), 1, atol=1e-6)
+
+
+def test_letters_of_one_symbol_are_told_apart(make_docs):
+    """Texts in letters that fold to the same symbols as those of all other texts."""
+    rng = random.Random(9)
+    letters = [chr(0x4E00 + 26 * k) for k in range(6)] + [chr(0x4E01 + 26 * k) for k in range(6)]
+    vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 5))) for _ in range(100)]
+    prose = [" ".join(rng.choice(vocabulary) for _ in range(100)) for _ in range(100)]
+    strange = [text.translate({ord(c): chr(ord(c) + 26 * 300) for c in letters}) for text in prose[:2]]
+    docs = make_docs(prose + strange)
+    assert {r.doc_id for r in quality_rules.keep_good(docs).collect()} == set(range(100))
+
+
 def test_verdicts_do_not_depend_on_other_languages_or_groups(make_docs, monkeypatch):
     rng = random.Random(5)
     prose = [" ".join(rng.choice(["aba", "cadab", "ra", "hokus", "pokus"]) for _ in range(60 + k % 9)) for k in range(40)]
