@@ -201,16 +201,19 @@ def _in_blocks(groups: DataFrame, texts: DataFrame, block: int) -> DataFrame:
     return asking.unionByName(asked)
 
 
-def find_links(
-    sets: DataFrame, texts: DataFrame, block: int = BLOCK_SHINGLES, stored: Callable[[DataFrame, str], DataFrame] = written
-) -> DataFrame:
+def find_links(sets: DataFrame, texts: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
     """Verified links (a, b) that join the same documents as all links inside buckets would.
 
     `sets` has doc_id, n_shingles and bands of one document per class, `texts`
     their doc_id and text. A bucket's leader is the member that shares most
-    buckets, which in a group of edited copies tends to be the original. The
-    result reads tables that `stored` wrote.
+    buckets, which in a group of edited copies tends to be the original.
     """
+    with scratch_folder(sets.sparkSession, "links") as stored:  # buckets and texts go when the links are known
+        return written(_links(sets, texts, block, stored), "edges")
+
+
+def _links(sets: DataFrame, texts: DataFrame, block: int, stored: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """What `find_links` returns, read from tables that `stored` wrote."""
     buckets = sets.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
     counts = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(buckets.join(counts, "key"), "buckets")
@@ -255,8 +258,7 @@ def near_duplicates(docs: DataFrame, stored: Callable[[DataFrame, str], DataFram
         linked.groupBy(*same_set).agg(F.min("doc_id").alias("head"), F.first("bands").alias("bands")), "classes"
     )
     heads = classes.select(F.col("head").alias("doc_id"), "n_shingles", "bands")
-    with scratch_folder(docs.sparkSession, "links") as passing:  # buckets and texts go when the components are known
-        labels = connected(find_links(heads, slim, stored=passing))
+    labels = connected(find_links(heads, slim))
     named = classes.join(labels, classes["head"] == labels["node"], "left").select(
         *same_set, F.coalesce("label", "head").alias("component")
     )
