@@ -32,6 +32,13 @@ WINDOW = 13
 BLOCK_BYTES = 2 << 20
 # Text of one row of the index.
 ROW_BYTES = 1 << 18
+# Row groups of the stored index. Parquet's writer looks at sizes every 100 rows only, which are some 50 MB
+# of index here, and keeps native buffers of that size; it is told to look after every row.
+INDEX_FILES = {
+    "parquet.block.size": str(8 << 20),
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+}
 # Proximity: this many rarest words of an item, all this near to the rarest.
 NEAR_TERMS = 4
 NEAR_SPAN = 26
@@ -290,7 +297,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
     spark = docs.sparkSession
     parts = []
     with scratch_folder(spark, "index") as stored:  # the index goes when all blocks are looked up
-        index = stored(build_index(docs), "postings")
+        index = stored(build_index(docs), "postings", **INDEX_FILES)
         for block in blocks(benchmark, block_bytes):
             asked = lookups(block)
             shared = spark.sparkContext.broadcast(vars(asked))  # plain arrays: tasks have no package

@@ -5,13 +5,16 @@ import itertools
 import random
 import re
 from collections import Counter, defaultdict
+from contextlib import contextmanager
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from marketloom.llm import decontaminate, near_dups, quality_rules, substring_dedup, words
 from marketloom.llm.components import connected
+from marketloom.scratch import written
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -223,3 +226,49 @@ def test_query_digests_are_those_of_the_texts(spark):
     row = op1_substring_dedup(spark, "/root/testdata/sf0.001").orderBy("doc_id").first()
     text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").first().text
     assert row.kept_sha256 == hashlib.sha256(" ".join(WORD.findall(text)).encode()).hexdigest()
+
+
+def test_index_is_stored_in_small_row_groups(spark, tmp_path, monkeypatch):
+    @contextmanager
+    def kept(spark, name):
+        yield lambda df, table, **options: written(df, table, str(tmp_path), **options)
+
+    monkeypatch.setattr(decontaminate, "scratch_folder", kept)
+    words = "array_join(transform(sequence(1, 30000), x -> hex(xxhash64(x, id))), ' ')"
+    docs = spark.range(40).coalesce(1).select(F.col("id").alias("doc_id"), F.expr(words).alias("text"))
+    benchmark = docs.limit(1).select(F.col("doc_id").alias("item_id"), F.expr("substring(text, 1, 400)").alias("text"))
+    assert decontaminate.find_contamination(docs, benchmark).where("n_hit > 0").count() == 1
+    files = [pq.ParquetFile(f).metadata for f in tmp_path.glob("postings-*/*.parquet")]
+    sizes = [f.row_group(k).total_byte_size for f in files for k in range(f.num_row_groups)]
+    assert sum(sizes) > 12 << 20
+    assert max(sizes) < 10 << 20
+
+
+def test_every_text_is_scored_once(make_docs, texts, capsys):
+    quality_rules.keep_good(make_docs(texts)).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
+def test_counts_passed_on_early_add_up(monkeypatch):
+    rng = random.Random(5)
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "text": pa.array([" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(12)]),
+            "model": pa.array(["en", "fr", "en"] * 4),
+            "half": pa.array([0, 1] * 6, pa.int32()),
+        }
+    )
+
+    def counts():
+        total, parts = Counter(), 0
+        for part in quality_rules._count_ngrams(iter([batch, batch])):
+            parts += 1
+            for model, half, code, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                total[model, half, code] += n
+        return total, parts
+
+    whole, parts = counts()
+    monkeypatch.setattr(quality_rules, "OPEN_CHARACTERS", 5000)
+    early, more = counts()
+    assert early == whole
+    assert more > parts
