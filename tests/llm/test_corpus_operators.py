@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from marketloom.llm import class_lm, divergence, merkle, pieces, pii, quality_rules, queries
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -267,6 +268,46 @@ def test_letters_of_one_symbol_are_told_apart(make_docs):
     assert {r.doc_id for r in quality_rules.keep_good(docs).collect()} == set(range(100))
 
 
+def test_ngrams_are_those_of_the_characters():
+    texts = ["", "a", "Abc", "ÉÀ漢字е\t", "", "x\U0001f600yz", "xy"]
+    raw = [t.encode() for t in texts]
+    bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    grams, ends = quality_rules.ngrams(np.frombuffer(b"".join(raw), np.uint8), bounds)
+    units = [[int.from_bytes(u[k : k + 2], "little") for k in range(0, len(u), 2)] for u in (t.encode("utf-16-le") for t in texts)]
+    assert np.diff(ends).tolist() == [len(u) for u in units]
+    padded = [[0x20] * 3 + u for u in units]
+    want = [sum(x << 16 * (3 - k) for k, x in enumerate(p[at : at + 4])) for p in padded for at in range(len(p) - 3)]
+    assert grams.tolist() == want
+
+
+def test_ngram_model_is_a_distribution_over_characters():
+    text = "".join(np.random.default_rng(6).choice(list("abAB é漢.5"), 20000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    grams, _ = quality_rules.ngrams(data, np.array([0, len(data)]))
+    model = quality_rules.ngram_model(*np.unique(grams, return_counts=True))
+    for before in ("abA", "漢é ", "5.B", "zzz"):
+        code = sum(ord(c) << 16 * (3 - k) for k, c in enumerate(before))
+        share = 2.0 ** -model.bits(np.uint64(code) | np.arange(1 << 16, dtype=np.uint64))
+        assert 0.95 < share.sum() < 1 + 1e-6  # the coarse model also knows points beyond U+FFFF
+
+
+def test_characters_before_are_not_folded(spark, make_docs):
+    """Prose, and texts with the same symbols and pairs of characters in another order."""
+    rng = random.Random(12)
+    stems = ["".join(rng.choice("mnrstul") for _ in range(rng.randint(1, 3))) for _ in range(60)]
+
+    def text(*tails):
+        return " ".join(rng.choice(stems) + rng.choice(tails) for _ in range(90))
+
+    prose = [text("yab", "YaB") for _ in range(120)]
+    strange = [text("yaB", "Yab") for _ in range(3)]
+    docs = make_docs(prose + strange)
+    judged = quality_rules.judge(docs)
+    assert {r.doc_id for r in judged.where("kept").collect()} == set(range(120))
+    assert judged.where("base_failed").count() == 0
+    assert {r.doc_id for r in corpus_pipeline.quality(spark, docs, "").collect()} == set(range(120))
+
+
 def test_verdicts_do_not_depend_on_other_languages_or_groups(make_docs, monkeypatch):
     rng = random.Random(5)
     prose = [" ".join(rng.choice(["aba", "cadab", "ra", "hokus", "pokus"]) for _ in range(60 + k % 9)) for k in range(40)]
