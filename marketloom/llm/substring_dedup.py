@@ -16,6 +16,10 @@ A window is WINDOW consecutive words. The work goes through five steps:
 
 Only step 1 moves texts, once; a key that fills a third of the corpus sends one
 passage per chunk, since a chunk sends equal passages once.
+
+A chunk sends at most RANGES rows a step, so their number grows in proportion to the
+texts. Where more ranges are needed to keep shards small, a row's passages are
+dealt further by hash, and a task handles one such part of its range after the other.
 """
 
 from __future__ import annotations
@@ -40,19 +44,26 @@ ANCHOR = 6
 # Text of one chunk, and hash ranges for each chunk's worth of text.
 CHUNK_BYTES = 6 << 20
 RANGES_PER_CHUNK = 4
+# Hash ranges that rows are sent to; beyond that, ranges have parts.
+RANGES = 1 << 10
 # Stands for a NULL id, which is later than any other.
 _NO_ID = np.iinfo(np.int64).max
 
 _SENT = "range int, chunk int, anchors binary"
 _SHARED = "chunk int, range int, anchors binary, marks binary"
-_PASSAGES = "range int, chunk int, ids binary, sizes binary, bytes binary"
+_PASSAGES = "range int, chunk int, parts binary, ids binary, sizes binary, bytes binary"
 _KEPT = "doc_id bigint, n_words bigint, n_removed bigint, text string"
 
 
+def _part(anchor: np.ndarray, n: int) -> np.ndarray:
+    """Part of n that each anchor is in, in order of the anchors."""
+    return ((anchor >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int32)
+
+
 class _Chunk:
     """Documents of a chunk in order of id and text, with the anchor of each window."""
 
-    def __init__(self, docs: pa.Table, n_ranges: int) -> None:
+    def __init__(self, docs: pa.Table, n_ranges: int, n_parts: int) -> None:
         docs = docs.take(pc.sort_indices(docs, [("doc_id", "ascending"), ("text", "ascending")]))
         self.doc_id = docs["doc_id"].combine_chunks()
         self.ids = pc.fill_null(self.doc_id, _NO_ID).to_numpy()
@@ -69,7 +80,8 @@ class _Chunk:
             place[lower] = k
         self.place = self.windows + place
         self.anchor = best
-        self.range = ((best >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int32)
+        self.part = _part(best, n_ranges * n_parts)
+        self.range = self.part // n_parts
 
     def distinct_anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct anchors, and which of them several documents of the chunk have."""
@@ -83,7 +95,7 @@ class _Chunk:
         return distinct, ids[at] != ids[last] if len(at) else np.zeros(0, bool)
 
     def passages(self, shared: pa.Table) -> dict[str, np.ndarray]:
-        """Runs of windows with one recurring anchor, in order of hash range and place.
+        """Runs of windows with one recurring anchor, in order of hash range, its part and place.
 
         Equal passages have equal `code`; `leads` marks the first of them, which
         the smallest document has.
@@ -108,24 +120,24 @@ class _Chunk:
         with np.errstate(over="ignore"):
             total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.words.codes * power[: len(self.words.codes)])])
             code = mix((total[start + size] - total[start]) * inverse[start] + size.astype(np.uint64))
-        home = self.range[use[begin]]
-        order = np.lexsort((start, home))
+        part = self.part[use[begin]]
+        order = np.lexsort((start, part))
         _, at, same = np.unique(code[order], return_index=True, return_inverse=True)
         text = self.text[start][order]
         # Documents stand in order of id, so the first place is that of the smallest.
         first = np.full(len(at), np.iinfo(np.int64).max)
         np.minimum.at(first, same, start[order])
         return {
-            "range": home[order], "start": start[order], "count": count[order], "group": same,
+            "part": part[order], "start": start[order], "count": count[order], "group": same,
             "id": self.ids[text], "leads": first[same] == start[order],
         }
 
 
-def _send_anchors(n_ranges: int):
+def _send_anchors(n_ranges: int, n_parts: int):
     def send(docs: pa.Table) -> pa.Table:
-        chunk = _Chunk(docs, n_ranges)
+        chunk = _Chunk(docs, n_ranges, n_parts)
         anchor, _ = chunk.distinct_anchors()  # in order, so by range too
-        home = ((anchor >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int32)
+        home = _part(anchor, n_ranges * n_parts) // n_parts
         bounds = np.searchsorted(home, np.arange(n_ranges + 1))
         filled = np.flatnonzero(np.diff(bounds))
         low = anchor.astype(np.uint32)
@@ -143,9 +155,11 @@ def _send_anchors(n_ranges: int):
 def _share_anchors(sent: pa.Table) -> pa.Table:
     """For every chunk, its anchors of this range that other chunks have too."""
     parts = [np.frombuffer(b.as_buffer(), np.uint32) for b in sent["anchors"]]
-    values, counts = np.unique(np.concatenate(parts), return_counts=True)
-    shared = values[counts > 1]
-    own = [part[np.isin(part, shared)].tobytes() for part in parts]
+    every = np.concatenate(parts)
+    _, place, counts = np.unique(every, return_inverse=True, return_counts=True)
+    shared = counts[place] > 1
+    ends = np.cumsum([len(part) for part in parts])
+    own = [part[shared[end - len(part) : end]].tobytes() for part, end in zip(parts, ends, strict=True)]
     out = pa.table(
         {
             "chunk": sent["chunk"],
@@ -157,17 +171,17 @@ def _share_anchors(sent: pa.Table) -> pa.Table:
     return out.filter(pc.greater(pc.binary_length(out["anchors"]), 0))
 
 
-def _send_passages(n_ranges: int):
+def _send_passages(n_ranges: int, n_parts: int):
     def send(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        schema = pa.schema(
-            [("range", pa.int32()), ("chunk", pa.int32()), ("ids", pa.binary()), ("sizes", pa.binary()), ("bytes", pa.binary())]
-        )
+        binaries = ["parts", "ids", "sizes", "bytes"]
+        schema = pa.schema([("range", pa.int32()), ("chunk", pa.int32()), *[(name, pa.binary()) for name in binaries]])
         if not docs.num_rows:
             return schema.empty_table()
-        chunk = _Chunk(docs, n_ranges)
+        chunk = _Chunk(docs, n_ranges, n_parts)
         found = chunk.passages(shared)
         lead = found["leads"]
-        home, start, size = found["range"][lead], found["start"][lead], found["count"][lead] + WINDOW - 1
+        part, start, size = found["part"][lead], found["start"][lead], found["count"][lead] + WINDOW - 1
+        home = part // n_parts
         begin, end = chunk.words.starts[start], chunk.words.ends[start + size - 1]
         rows = {name: [] for name in schema.names}
         bounds = np.searchsorted(home, np.arange(n_ranges + 1))
@@ -176,6 +190,7 @@ def _send_passages(n_ranges: int):
             sizes = end[own] - begin[own]
             rows["range"].append(int(r))
             rows["chunk"].append(docs["chunk"][0].as_py())
+            rows["parts"].append(part[own].tobytes())
             rows["ids"].append(found["id"][lead][own].tobytes())
             rows["sizes"].append(sizes.astype(np.int64).tobytes())
             rows["bytes"].append(chunk.words.data[ranges(begin[own], sizes)].tobytes())
@@ -202,17 +217,14 @@ def _phrase_heads(same: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
     return ~goes_on[same]
 
 
-def _mark_passages(sent: pa.Table) -> pa.Table:
-    """Which windows of a shard's passages stand in a smaller document too."""
-    ids = [np.frombuffer(b.as_buffer(), np.int64) for b in sent["ids"]]
-    sizes = np.concatenate([np.frombuffer(b.as_buffer(), np.int64) for b in sent["sizes"]])
-    data = b"".join(b.as_py() for b in sent["bytes"])
+def _mark_part(ids: np.ndarray, sizes: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows of passages stand in a smaller document too, and how many windows each passage has."""
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     passages = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data))
     words = find_words(passages, SPACED)
     passage = words.text_of_word()
     windows = np.flatnonzero(whole_runs(words.first, len(words.codes), WINDOW))
-    owner = np.concatenate(ids)[passage[windows]]
+    owner = ids[passage[windows]]
     codes, same = np.unique(runs(words.codes, WINDOW)[windows], return_inverse=True)
     first, last = np.full(len(codes), _NO_ID), np.full(len(codes), -_NO_ID)
     np.minimum.at(first, same, owner)
@@ -242,13 +254,37 @@ def _mark_passages(sent: pa.Table) -> pa.Table:
         window = at[hits[:, 0] - length - WINDOW + 2]
         later = first[same[heads[sample]]][hits[:, 1]] < owner[window]
         marks[ranges(window[later], length[later])] = 1
+    return marks, np.bincount(passage[windows], minlength=len(sizes))
+
+
+def _mark_passages(sent: pa.Table) -> pa.Table:
+    """Which windows of a shard's passages stand in a smaller document too, one part of the shard after the other."""
+    ids, sizes, parts = (
+        [np.frombuffer(b.as_buffer(), kind) for b in sent[name]]
+        for name, kind in (("ids", np.int64), ("sizes", np.int64), ("parts", np.int32))
+    )
     per_row = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-    bounds = np.searchsorted(passage[windows], per_row)
+    ids, sizes, parts = (np.concatenate(x) for x in (ids, sizes, parts))
+    data = np.frombuffer(b"".join(b.as_py() for b in sent["bytes"]), np.uint8)
+    begin = np.cumsum(sizes) - sizes
+    marked, counts = [], np.zeros(len(ids), np.int64)
+    order = np.argsort(parts, kind="stable")
+    cuts = np.flatnonzero(np.diff(parts[order])) + 1
+    groups = np.split(order, cuts)
+    for own in groups:
+        text = data if len(groups) == 1 else data[ranges(begin[own], sizes[own])]
+        found, counts[own] = _mark_part(ids[own], sizes[own], text)
+        marked.append(found)
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    marks = np.zeros(bounds[-1], np.uint8)
+    for own, found in zip(groups, marked, strict=True):
+        marks[ranges(bounds[own], counts[own])] = found
+    bounds = bounds[per_row]
     return pa.table(
         {
             "chunk": sent["chunk"],
             "range": sent["range"],
-            "anchors": pa.nulls(len(ids), pa.binary()),
+            "anchors": pa.nulls(len(per_row) - 1, pa.binary()),
             "marks": pa.array([marks[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
         }
     )
@@ -269,12 +305,12 @@ def _joined(words: Words, keep: np.ndarray) -> pa.Array:
     return pa.array(texts, pa.binary()).cast(pa.string())
 
 
-def _apply_marks(n_ranges: int):
+def _apply_marks(n_ranges: int, n_parts: int):
     def apply(docs: pa.Table, shared: pa.Table) -> pa.Table:
         schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())])
         if not docs.num_rows:
             return schema.empty_table()
-        chunk = _Chunk(docs, n_ranges)
+        chunk = _Chunk(docs, n_ranges, n_parts)
         found = chunk.passages(shared)
         marked = shared.filter(shared["marks"].is_valid()).sort_by("range")
         marks = np.frombuffer(b"".join(b.as_py() for b in marked["marks"]), np.uint8)
@@ -323,14 +359,15 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame
     """
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     n_chunks = max(8, 1 + int(size) // chunk_bytes)
-    n_ranges = n_chunks * RANGES_PER_CHUNK
+    n_parts = -(-n_chunks * RANGES_PER_CHUNK // RANGES)
+    n_ranges = min(n_chunks * RANGES_PER_CHUNK, RANGES)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
     chunks = slim.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).cast("int").alias("chunk"), "doc_id", "text")
     by_chunk = chunks.groupBy("chunk")
-    sent = by_chunk.applyInArrow(_send_anchors(n_ranges), _SENT)
+    sent = by_chunk.applyInArrow(_send_anchors(n_ranges, n_parts), _SENT)
     shared = sent.groupBy("range").applyInArrow(_share_anchors, _SHARED)
-    passages = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_send_passages(n_ranges), _PASSAGES)
+    passages = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_send_passages(n_ranges, n_parts), _PASSAGES)
     marks = passages.groupBy("range").applyInArrow(_mark_passages, _SHARED)
     told = shared.unionByName(marks)
-    return by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(_apply_marks(n_ranges), _KEPT)
+    return by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(_apply_marks(n_ranges, n_parts), _KEPT)

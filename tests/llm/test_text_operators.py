@@ -4,9 +4,11 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -64,6 +66,29 @@ def test_repeats_are_removed_as_by_hand(make_docs, texts, chunk_bytes):
     assert rows_of(got, "doc_id", "n_words", "n_removed", "text") == removed_by_hand(list(zip(ids, texts)))
 
 
+def test_ranges_with_parts_remove_the_same(make_docs, texts, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "RANGES", 3, raising=False)
+    sent, send = [], substring_dedup._send_anchors
+    monkeypatch.setattr(substring_dedup, "_send_anchors", lambda n, *more: sent.append(n) or send(n, *more))
+    got = substring_dedup.remove_repeats(make_docs(texts), 4_000)
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "text") == removed_by_hand(list(enumerate(texts)))
+    substring_dedup.remove_repeats(make_docs(texts), 400)
+    assert sent == [3, 3]  # a chunk sends no more rows when there are more chunks
+
+
+def test_anchors_of_many_chunks_are_shared_in_one_pass():
+    rng = np.random.default_rng(3)
+    own = [np.unique(rng.integers(0, 1 << 20, 400).astype(np.uint32)) for _ in range(4000)]
+    sent = pa.table({"range": [1] * 4000, "chunk": list(range(4000)), "anchors": pa.array([x.tobytes() for x in own], pa.binary())})
+    start = time.process_time()
+    got = substring_dedup._share_anchors(sent)
+    assert time.process_time() - start < 8
+    values, counts = np.unique(np.concatenate(own), return_counts=True)
+    several = set(values[counts > 1].tolist())
+    found = {c: np.frombuffer(b, np.uint32).tolist() for c, b in zip(got["chunk"].to_pylist(), got["anchors"].to_pylist())}
+    assert all(found.get(c, []) == [x for x in row.tolist() if x in several] for c, row in enumerate(own))
+
+
 def test_one_passage_in_many_documents(make_docs):
     """A hot passage, also overlapping itself."""
     passage = " ".join(f"p{i % 5}" for i in range(60))
